@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, simhash
+from . import piece_bpe, quality_rules, simhash, token_files
 from .common import table
 
 
@@ -13,10 +13,25 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_table(table(spark, sf_dir, "documents"))
 
 
+def tokenizer(name: str) -> str:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.encode_digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op9_simhash)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_sentencepiece, op5_token_files, op9_simhash)}
 ORACLES = {"op3_quality_rules": quality_rules.ORACLE}
