@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import piece_bpe, quality_rules, simhash, token_files
-from .common import table
+from . import byte_cnn, language_mix, piece_bpe, quality_rules, residual_quantizer, simhash, token_files
+from .common import fold, table
+
+
+def op1_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = byte_cnn.train(docs, table(spark, sf_dir, "labels"))
+    scored = byte_cnn.score_table(docs, model)
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,10 +35,20 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op7_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_mix.predict_table(docs, language_mix.train(docs))
+    return found.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op8_additive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residual_quantizer.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_sentencepiece, op5_token_files, op9_simhash)}
+QUERIES = {f.__name__: f for f in (op1_quality_cnn, op3_quality_rules, op4_sentencepiece, op5_token_files, op7_language_mix, op8_additive_ann, op9_simhash)}
 ORACLES = {"op3_quality_rules": quality_rules.ORACLE}
