@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_cnn, language_mix, piece_bpe, quality_rules, residual_quantizer, simhash, token_files
+from . import bin_packing, byte_cnn, language_mix, piece_bpe, quality_rules, reply_trees, residual_quantizer, simhash, token_files
 from .common import fold, table
 
 
@@ -16,6 +16,10 @@ def op1_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op2_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bin_packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_table(table(spark, sf_dir, "documents"))
 
@@ -50,5 +54,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_cnn, op3_quality_rules, op4_sentencepiece, op5_token_files, op7_language_mix, op8_additive_ann, op9_simhash)}
-ORACLES = {"op3_quality_rules": quality_rules.ORACLE}
+def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], told.schema)
+    return reply_trees.digests(reply_trees.linear(told.union(extra)))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_cnn, op2_bin_packing, op3_quality_rules, op4_sentencepiece, op5_token_files, op7_language_mix, op8_additive_ann, op9_simhash, op10_reply_trees)}
+ORACLES = {"op3_quality_rules": quality_rules.ORACLE, "op10_reply_trees": reply_trees.ORACLE}

@@ -61,7 +61,10 @@ class Quantizer:
         return cls(found)
 
     def encode(self, x: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-        """Codes and squared norms of the sums."""
+        """Codes and squared norms of the sums, some rows at a time for the beams' sake."""
+        if len(x) > 1_024:
+            parts = [self.encode(x[s : s + 1_024], beam) for s in range(0, len(x), 1_024)]
+            return np.concatenate([c for c, _ in parts]), np.concatenate([n for _, n in parts])
         n = len(x)
         rest = x.astype(np.float32)[:, None, :]
         codes = np.zeros((n, 1, 0), np.uint8)
