@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bin_packing, byte_cnn, language_mix, piece_bpe, quality_rules, reply_trees, residual_quantizer, simhash, token_files
+from . import bin_packing, byte_cnn, language_mix, personal_data, piece_bpe, quality_rules, reply_trees, residual_quantizer, simhash, token_files
 from .common import fold, table
 
 
@@ -39,6 +39,13 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("spans", lambda x: x["k"] == k)).cast("long").alias(f"n_{k}")
+    digest = F.sha2(personal_data.spans_text(F.col("spans")).cast("binary"), 256)
+    return found.select("doc_id", *(count(k) for k in personal_data.PATTERNS), digest.alias("base_sha256"), personal_data.spans_text(F.col("all_spans")).alias("spans"))
+
+
 def op7_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_mix.predict_table(docs, language_mix.train(docs))
@@ -61,5 +68,5 @@ def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reply_trees.digests(reply_trees.linear(told.union(extra)))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_cnn, op2_bin_packing, op3_quality_rules, op4_sentencepiece, op5_token_files, op7_language_mix, op8_additive_ann, op9_simhash, op10_reply_trees)}
+QUERIES = {f.__name__: f for f in (op1_quality_cnn, op2_bin_packing, op3_quality_rules, op4_sentencepiece, op5_token_files, op6_personal_data, op7_language_mix, op8_additive_ann, op9_simhash, op10_reply_trees)}
 ORACLES = {"op3_quality_rules": quality_rules.ORACLE, "op10_reply_trees": reply_trees.ORACLE}
