@@ -151,7 +151,7 @@ def _salted(left: DataFrame, right: DataFrame) -> DataFrame:
 def read_once(docs: DataFrame) -> DataFrame:
     """(doc_id, h, spans, instances) of every row: all that later steps need of the texts."""
     text = F.coalesce("text", F.lit(""))
-    found = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), text.alias("t"), base_spans(text).alias("spans"))
+    found = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), text.alias("t"), F.explode(F.array(base_spans(text))).alias("spans"))  # once per row, not per use
     return found.select("doc_id", "h", "spans", _instances(F.col("t"), F.col("spans")).alias("instances"))
 
 

@@ -23,7 +23,7 @@ LEAST = 50
 SPREAD = 3
 WINDOW = 8
 #: Slack in the measure's own unit, so that a group without any spread still allows a little.
-SLACK = {"symbol": 40, "length": 100, "repeat": 100, "lines": 20}
+SLACK = {"symbol": 40, "length": 100, "repeat": 300, "lines": 60}
 SALTS = 16
 #: Threshold rows that may be broadcast; beyond it the join is salted instead.
 BROADCAST_ROWS = 50_000
@@ -82,7 +82,8 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 def base_counts(docs: DataFrame, keep: list[str], into: str = "_q") -> DataFrame:
     """``keep`` columns and a struct ``into`` of the counts and ``base_failed``."""
-    measured = docs.select(*keep, _counts(F.col("text")).alias(into))
+    # A generator is computed once per row, where a plain column would be copied into each use of its fields.
+    measured = docs.select(*keep, F.explode(F.array(_counts(F.col("text")))).alias(into))
     failed = (F.col(f"{into}.n_words") < 20) | (F.col(f"{into}.n_repeat_words") * 100 > F.col(f"{into}.n_words") * 30)
     return measured.withColumn(into, F.col(into).withField("base_failed", failed))
 
@@ -165,7 +166,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
     return judged.filter("_kept").select(*docs.columns)
 
 
-_FENCE = "3 * (%s3 - %s1) + CASE measure WHEN 'symbol' THEN 40 WHEN 'length' THEN 100 WHEN 'repeat' THEN 100 ELSE 20 END"
+_FENCE = "3 * (%s3 - %s1) + CASE measure WHEN 'symbol' THEN 40 WHEN 'length' THEN 100 WHEN 'repeat' THEN 300 ELSE 60 END"
 ORACLE = """
 WITH w AS (
   SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text,
