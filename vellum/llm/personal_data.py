@@ -189,15 +189,16 @@ def masked(text: Column, spans: Column) -> Column:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """All documents with the spans masked in their texts (and n_chars, if present, counted anew)."""
+    """All documents with the spans masked in their texts (and n_chars, if present, counted anew).  Base spans
+    are found again where the text is, so that only discovered ones are joined to it."""
     read = materialize(read_once(docs), "pii-read")
-    all_spans = read.select("doc_id", "h", "spans").filter(F.size("spans") > 0).distinct()
-    more = _per_row(discover(read))
-    found = all_spans.unionByName(more.withColumnRenamed("more", "spans")).groupBy("doc_id", "h").agg(F.flatten(F.collect_list("spans")).alias("_s"))
-    found = materialize(found.withColumnsRenamed({"doc_id": "_d", "h": "_h"}), "pii-found")
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(F.col("_d")) & (F.xxhash64(docs["text"]) == F.col("_h")), "left")
-    text = F.when(F.col("text").isNotNull() & F.col("_s").isNotNull(), masked(F.col("text"), F.col("_s"))).otherwise(F.col("text"))
-    out = joined.withColumn("text", text)
+    more = materialize(_per_row(discover(read)).withColumnsRenamed({"doc_id": "_d", "h": "_h", "more": "_s"}), "pii-found")
+    joined = docs.join(more, docs["doc_id"].eqNullSafe(F.col("_d")) & (F.xxhash64(docs["text"]) == F.col("_h")), "left")
+    spans = F.concat(base_spans(F.coalesce("text", F.lit(""))), F.coalesce("_s", F.array().cast(SPANS)))
+    # A generator is computed once per row, where a plain column would be copied into each use.
+    joined = joined.select("*", F.explode(F.array(spans)).alias("_all"))
+    touched = F.col("text").isNotNull() & (F.size("_all") > 0)
+    out = joined.withColumn("text", F.when(touched, masked(F.col("text"), F.col("_all"))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_s").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.size("_all") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
