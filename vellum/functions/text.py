@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ZERO_WIDTH = r"[\x{200B}-\x{200D}\x{FEFF}]"
 PRIVATE = r"\x{E000}-\x{F8FF}"
@@ -42,12 +43,12 @@ def is_clean(s: Column, share: float = 0.01) -> Column:
     return F.when(non_space(s) > 0, private_use(s) / non_space(s) <= share).otherwise(F.lit(True))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def full_casefold(s: pd.Series) -> pd.Series:
     return s.map(str.casefold, na_action="ignore")
 
