@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,12 +69,16 @@ def pack(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, length: Colu
     cut = materialize(pieces(docs, capacities, length), "packing-pieces")
     n = max(1, -(-cut.count() // group))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "piece", "length"], kind="stable").reset_index(drop=True)
-        bins, places, final = pack_lengths(pdf["length"].tolist(), capacities)
-        base = int(pdf["g"].iloc[0]) << 32
-        return pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "piece": pdf["piece"], "start": pdf["start"], "length": pdf["length"], "bin_id": [base + b for b in bins], "place": places, "capacity": [final[b] for b in bins]})
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("doc_id", "ascending"), ("piece", "ascending"), ("length", "ascending")])
+        bins, places, final = pack_lengths(group["length"].to_pylist(), capacities)
+        base = group["g"][0].as_py() << 32
+        made = {"bin_id": [base + b for b in bins], "place": places, "capacity": [final[b] for b in bins]}
+        out = group.select(["doc_id", "piece", "start", "length"])
+        for name, values in made.items():
+            out = out.append_column(name, pa.array(values, pa.int64()))
+        return out
 
     # Repeated rows hash alike; a row's own number in its task tells them apart.
     dealt = cut.withColumn("g", F.pmod(F.xxhash64("doc_id", "piece", "length", F.monotonically_increasing_id()), F.lit(n)))
-    return dealt.groupBy("g").applyInPandas(run, "doc_id long, piece long, start long, length long, bin_id long, place long, capacity long")
+    return dealt.groupBy("g").applyInArrow(run, "doc_id long, piece long, start long, length long, bin_id long, place long, capacity long")

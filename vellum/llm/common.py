@@ -50,6 +50,17 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """The names, each with underscores added until no column has it."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text as an array; null or blank: empty."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE_CHARS))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_GAP, let, materialize
+from .common import WORD_GAP, free_names, let, materialize
 
 #: Possessive and anchored at the start of a run, so that no text takes more than linear time; the matches
 #: are those of the plain pattern.
@@ -192,13 +192,14 @@ def redact(docs: DataFrame) -> DataFrame:
     """All documents with the spans masked in their texts (and n_chars, if present, counted anew).  Base spans
     are found again where the text is, so that only discovered ones are joined to it."""
     read = materialize(read_once(docs), "pii-read")
-    more = materialize(_per_row(discover(read)).withColumnsRenamed({"doc_id": "_d", "h": "_h", "more": "_s"}), "pii-found")
-    joined = docs.join(more, docs["doc_id"].eqNullSafe(F.col("_d")) & (F.xxhash64(docs["text"]) == F.col("_h")), "left")
-    spans = F.concat(base_spans(F.coalesce("text", F.lit(""))), F.coalesce("_s", F.array().cast(SPANS)))
+    d, h, s, every = free_names(docs.columns, "_d", "_h", "_s", "_all")
+    more = materialize(_per_row(discover(read)).withColumnsRenamed({"doc_id": d, "h": h, "more": s}), "pii-found")
+    joined = docs.join(more, docs["doc_id"].eqNullSafe(F.col(d)) & (F.xxhash64(docs["text"]) == F.col(h)), "left")
+    spans = F.concat(base_spans(F.coalesce("text", F.lit(""))), F.coalesce(s, F.array().cast(SPANS)))
     # A generator is computed once per row, where a plain column would be copied into each use.
-    joined = joined.select("*", F.explode(F.array(spans)).alias("_all"))
-    touched = F.col("text").isNotNull() & (F.size("_all") > 0)
-    out = joined.withColumn("text", F.when(touched, masked(F.col("text"), F.col("_all"))).otherwise(F.col("text")))
+    joined = joined.select("*", F.explode(F.array(spans)).alias(every))
+    touched = F.col("text").isNotNull() & (F.size(every) > 0)
+    out = joined.withColumn("text", F.when(touched, masked(F.col("text"), F.col(every))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_all") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.size(every) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

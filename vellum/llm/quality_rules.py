@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, materialize, words
+from .common import free_names, let, materialize, words
 
 LEAST = 50
 SPREAD = 3
@@ -132,22 +132,24 @@ def thresholds(sketched: DataFrame, least: int = LEAST) -> DataFrame:
     return fences.groupBy("lang", "source").agg(*(of(m, "hi").alias(f"hi_{m}") for m in SLACK), of("length", "lo").alias("lo_length"))
 
 
-def _judged(counted: DataFrame, limits: DataFrame, q: str = "_q") -> DataFrame:
-    """``counted`` with a boolean ``_kept``."""
-    limits = limits.withColumnsRenamed({c: f"_t_{c}" for c in limits.columns})
-    same = F.col("lang").eqNullSafe(F.col("_t_lang")) & F.col("source").eqNullSafe(F.col("_t_source"))
+def _judged(counted: DataFrame, limits: DataFrame, q: str = "_q", into: str = "_kept") -> DataFrame:
+    """``counted`` with a boolean column ``into``."""
+    own = dict(zip(limits.columns, free_names([*counted.columns, into], *(f"_t_{c}" for c in limits.columns))))
+    limits = limits.withColumnsRenamed(own)
+    salt, salt_t = free_names([*counted.columns, into, *limits.columns], "_salt", "_t_salt")
+    same = F.col("lang").eqNullSafe(F.col(own["lang"])) & F.col("source").eqNullSafe(F.col(own["source"]))
     if limits.count() <= BROADCAST_ROWS:
         joined = counted.join(F.broadcast(limits), same, "left")
     else:
-        salted = limits.withColumn("_t_salt", F.explode(F.array([F.lit(i).cast("long") for i in range(SALTS)])))
-        joined = counted.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).join(salted, same & (F.col("_salt") == F.col("_t_salt")), "left").drop("_salt", "_t_salt")
+        salted = limits.withColumn(salt_t, F.explode(F.array([F.lit(i).cast("long") for i in range(SALTS)])))
+        joined = counted.withColumn(salt, F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).join(salted, same & (F.col(salt) == F.col(salt_t)), "left").drop(salt, salt_t)
     m = measures(q)
     inside = F.lit(True)
     for k in SLACK:
-        inside = inside & (m[k] <= F.coalesce(F.col(f"_t_hi_{k}"), F.lit(1 << 60)))
-    inside = inside & (m["length"] >= F.coalesce(F.col("_t_lo_length"), F.lit(0)))
+        inside = inside & (m[k] <= F.coalesce(F.col(own[f"hi_{k}"]), F.lit(1 << 60)))
+    inside = inside & (m["length"] >= F.coalesce(F.col(own["lo_length"]), F.lit(0)))
     kept = ~F.col(f"{q}.base_failed") & inside
-    return joined.withColumn("_kept", kept).drop(*limits.columns)
+    return joined.withColumn(into, kept).drop(*limits.columns)
 
 
 def quality_table(docs: DataFrame) -> DataFrame:
@@ -162,8 +164,9 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """Documents that pass, all columns kept.  Texts are measured twice (once for the sketch, once for the
     verdict), so that they need not be shuffled to meet it."""
     limits = materialize(thresholds(sketch(base_counts(docs, ["doc_id", "lang", "source"]))), "rules-limits")
-    judged = _judged(base_counts(docs, list(docs.columns)), limits)
-    return judged.filter("_kept").select(*docs.columns)
+    q, into = free_names(docs.columns, "_q", "_kept")
+    judged = _judged(base_counts(docs, list(docs.columns), q), limits, q, into)
+    return judged.filter(F.col(into)).select(*docs.columns)
 
 
 _FENCE = "3 * (%s3 - %s1) + CASE measure WHEN 'symbol' THEN 40 WHEN 'length' THEN 100 WHEN 'repeat' THEN 300 ELSE 60 END"

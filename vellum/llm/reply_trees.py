@@ -11,7 +11,7 @@ their mean score, and each chosen path is formatted as one conversation:
 original comes back exactly.  A role's newline is written <|n|>.  The loss mask is the list of
 code-point spans of the assistants' texts in the output.
 
-Cases: null text or role is the empty string; an empty table gives no rows; messages on a cycle or
+Cases: null text or role is the empty string; a null conv_id is a conversation of its own; an empty table gives no rows; messages on a cycle or
 below a missing parent have no root and make no path; ties of rank go to the smaller leaf; repeated rows
 of a turn are turns of their own, ordered by role and text.
 """
@@ -62,6 +62,8 @@ def paths(messages: DataFrame) -> DataFrame:
 
 def format_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     """(conv_id, leaf, branch, formatted, mask): the best ``branches`` paths of each conversation."""
+    # A struct of one field, so that a null conv_id meets itself in joins.
+    messages = messages.select(F.struct("conv_id").alias("conv_id"), "node", "parent", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), "score")
     told = paths(messages).join(messages, ["conv_id", "node"])
     turn = F.struct((-F.col("up")).alias("at"), "role", "text")
     whole = told.groupBy("conv_id", "leaf").agg(F.avg("score").alias("score"), F.array_sort(F.collect_list(turn)).alias("turns"))
@@ -84,7 +86,7 @@ def format_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         ),
         lambda acc: acc["spans"],
     )
-    return pieces.select("conv_id", "leaf", "branch", formatted.alias("formatted"), mask.alias("mask"))
+    return pieces.select("conv_id.conv_id", "leaf", "branch", formatted.alias("formatted"), mask.alias("mask"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
