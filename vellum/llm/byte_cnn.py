@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold
+from .common import fitted, fold
 
 HALF, DIM, FILTERS = 4, 8, 48
 SAMPLE, LONGEST = 5_000, 16_384
@@ -119,9 +119,13 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, sam
     texts = texts.filter(F.octet_length("text") <= longest)
     # The ids are chosen first, so that only the chosen rows' texts move.
     chosen = known.filter(fold(F.col("doc_id"), folds) != held).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).collect()
-    rows.sort(key=lambda x: x["doc_id"])
-    return ByteCnn().fit([x["text"].encode("utf-8", "replace") for x in rows], [int(x["quality"] > 0) for x in rows])
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min_by(F.struct("text", "quality"), "text").alias("x")).select("doc_id", "x.*")
+
+    def fit(drawn: pa.Table) -> ByteCnn:
+        drawn = drawn.sort_by("doc_id")
+        return ByteCnn().fit([t.encode("utf-8", "replace") for t in drawn["text"].to_pylist()], [int(q > 0) for q in drawn["quality"].to_pylist()])
+
+    return fitted(rows, fit)
 
 
 def score_table(docs: DataFrame, model: ByteCnn, threshold: float = 0.3) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +49,19 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def fitted(sample: DataFrame, fit: Callable[[pa.Table], Any]) -> Any:
+    """What ``fit`` makes of the rows of a bounded sample, in one task: Spark gives its Python one BLAS thread and
+    runs it again elsewhere if the executor is lost."""
+    schema = sample.limit(0).toArrow().schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = fit(pa.Table.from_batches(list(batches), schema))
+        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(made)]})
+
+    row = sample.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(row["model"]) if row else fit(schema.empty_table())
+
+
 def let(value: Column, body) -> Column:
     """Bind an expression once, so that a lambda inside ``body`` does not evaluate it per element."""
     return F.element_at(F.transform(F.array(value), body), 1)

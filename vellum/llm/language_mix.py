@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold
+from .common import fitted, fold
 
 PER_LANG, LONGEST = 500, 16_384
 BUCKETS = 1 << 16
@@ -111,11 +111,14 @@ def train(docs: DataFrame, folds: int = 3, held: int = 1, per_lang: int = PER_LA
     # A share of each language by hash, so that no language meets in one task.
     share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1 << 20, max(1, per_lang * (1 << 20) // n)))))
     drawn = known.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < share[F.col("lang")])
-    rows = drawn.select("lang", "text").collect()
-    texts: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["text"])):
-        texts.setdefault(r["lang"], []).append(r["text"])
-    return Mixture.fit(texts)
+
+    def fit(rows: pa.Table) -> Mixture:
+        texts: dict[str, list[str]] = {}
+        for lang, text in sorted(zip(rows["lang"].to_pylist(), rows["text"].to_pylist())):
+            texts.setdefault(lang, []).append(text)
+        return Mixture.fit(texts)
+
+    return fitted(drawn.select("lang", "text"), fit)
 
 
 def predict_table(docs: DataFrame, model: Mixture) -> DataFrame:

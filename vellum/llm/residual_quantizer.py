@@ -20,10 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import fitted, materialize
 
 SAMPLE = 16_384
 BOOKS, WORDS, BEAM = 16, 256, 6
@@ -111,12 +112,18 @@ def _nearest(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, norms: np.ndarra
 
 
 def fit(vectors: DataFrame, sample: int = SAMPLE) -> tuple[Quantizer | None, int]:
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
-    if not rows:
-        return None, 0
-    dims = np.bincount([len(r["embedding"]) for r in rows])
-    d = int(dims.argmax())
-    return Quantizer.fit(np.array([r["embedding"] for r in rows if len(r["embedding"]) == d], np.float32)), d
+
+    def of(rows: pa.Table) -> tuple[Quantizer | None, int]:
+        if not rows.num_rows:
+            return None, 0
+        rows = rows.sort_by("vec_id")
+        lists = rows["embedding"].combine_chunks()
+        lengths = np.asarray(pc.list_value_length(lists))
+        d = int(np.bincount(lengths).argmax())
+        x = lists.filter(pa.array(lengths == d)).flatten().to_numpy(zero_copy_only=False)
+        return Quantizer.fit(x.astype(np.float32).reshape(-1, d)), d
+
+    return fitted(vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample), of)
 
 
 def _pack(vectors: DataFrame, z: Quantizer, size: int, coded: bool) -> DataFrame:
