@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import tokens
 
@@ -29,6 +31,40 @@ def micro(overlap: str = "overlap", ref: str = "ref_words", hyp: str = "hyp_word
     ]
 
 
+#: Longest line whose distance is taken by table in the JVM; beyond it by words of bits.
+TABLED = 2_000
+
+
+def bit_distance(a: str, b: str) -> int:
+    """Edit distance with a column of the table held as two bit vectors (differences up and down)."""
+    if not a or not b:
+        return len(a) + len(b)
+    at: dict[str, int] = {}
+    for i, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << i
+    full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    up, down, score = full, 0, len(a)
+    for c in b:
+        same = at.get(c, 0)
+        diagonal = (((same & up) + up) ^ up) | same | down
+        right, left = down | ~(diagonal | up) & full, up & diagonal
+        score += bool(right & top) - bool(left & top)
+        right, left = (right << 1 | 1) & full, left << 1 & full
+        up, down = left | ~(diagonal | right) & full, right & diagonal
+    return score
+
+
+@F.pandas_udf(T.LongType())
+def _long_distance(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None or y is None else bit_distance(x, y) for x, y in zip(a, b)], dtype="Int64")
+
+
+def distance(a: Column, b: Column) -> Column:
+    """Edit distance in code points; only lines too long for a table leave the JVM."""
+    long = (F.length(a) > TABLED) | (F.length(b) > TABLED)
+    return F.when(long, _long_distance(F.when(long, a), F.when(long, b))).otherwise(F.levenshtein(a, b).cast("long"))
+
+
 def edit_ops(ref: list, hyp: list) -> tuple[int, int, int]:
     """Substitutions, deletions, insertions of one least-cost alignment; ties prefer a match or
     substitution, then a deletion."""

@@ -151,7 +151,7 @@ def word_recall_precision(spark: SparkSession, d: str) -> DataFrame:
 
 def _char_errors(spark: SparkSession, d: str) -> DataFrame:
     """Edit distance line by line: whole texts, and no table larger than a line squared."""
-    cut = c.lines(spark, d).select("doc_id", F.levenshtein("t", c.confused("t")).cast("long").alias("e"), F.length("t").cast("long").alias("n"))
+    cut = c.lines(spark, d).select("doc_id", metrics.distance(F.col("t"), c.confused("t")).alias("e"), F.length("t").cast("long").alias("n"))
     return cut.groupBy("doc_id").agg(F.sum("e").alias("char_errors"), F.sum("n").alias("ref_chars"))
 
 
