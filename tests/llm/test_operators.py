@@ -423,3 +423,61 @@ def test_pipeline_stages(spark, duck, tmp_path):
     assert not any(plain_spans(t) for t in after.values() if t)
     assert all(after[i] == texts[i] for i in ids[3] if not re.search("[0-9@]", texts[i]))
     assert steps[4].agg(F.sum("length")).first()[0] == sum(len(t.encode()) + 1 for t in after.values())
+
+
+# --- similarity of the pipeline's near-duplicates
+
+
+def plain_links(ids, texts):
+    """Components of all pairs of a five-word similarity of 0.8 or more, by Python's sets."""
+    sets = {}
+    for i, t in zip(ids, texts):
+        ws = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[i] = frozenset(" ".join(ws[k : k + 5]) for k in range(max(1, len(ws) - 4))) if ws else frozenset()
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in itertools.combinations(ids, 2):
+        x, y = sets[a], sets[b]
+        if x == y or 9 * len(x & y) >= 4 * (len(x) + len(y)) > 0:
+            r, s = sorted((find(a), find(b)))
+            root[s] = r
+    return {i: find(i) for i in ids}
+
+
+@pytest.mark.parametrize("centres", [(1, 4), ()])
+def test_stage_links_every_pair_of_similarity_four_fifths(spark, centres):
+    from vellum.llm import shingle_sets
+
+    rng = np.random.default_rng(8)
+    texts = []
+    for g in range(12):
+        base = [f"g{g}w{k}" for k in range(int(rng.integers(60, 300)))]
+        for _ in range(10):
+            ws = list(base)
+            for at in rng.choice(len(ws), int(rng.integers(0, len(ws) // 30 + 1)), replace=False):
+                ws[at] = f"new{rng.integers(1 << 30)}"
+            texts.append(" ".join(ws))
+    texts += [*ODD, *ODD, "one two three", "One  Two\nthree"]
+    want = plain_links(range(len(texts)), texts)
+    assert len(set(want.values())) > 20
+    docs = documents(spark, texts)
+    got = {r.doc_id: r.component_id for r in shingle_sets.near_duplicates(docs, centres=centres).collect()}
+    assert {i: got[i] for i in want} == want and len(got) == len(texts) + 1
+    kept = shingle_sets.deduplicate(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(want.values()))
+    assert shingle_sets.near_duplicates(empty(spark)).count() == 0 and shingle_sets.deduplicate(empty(spark)).count() == 0
+
+
+def test_pipeline_removes_copies_that_simhash_leaves(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    want = plain_links([i for i, _ in rows], [t for _, t in rows])
+    got = {r.doc_id for r in dict(corpus_pipeline.STAGES)["near-duplicates"](spark, docs, DATA).collect()}
+    assert got == set(want.values()) and 177 not in got

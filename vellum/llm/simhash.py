@@ -37,19 +37,25 @@ _LANES = (np.arange(8, dtype=np.uint16) * 256)[None, :]
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
-def text_fingerprint(text: str | None, shingle: int = 4) -> int:
+def shingle_hashes(text: str | None, shingle: int) -> list[int]:
+    """Hash of each run of ``shingle`` words; fewer words are one run, none give nothing."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
     digest = xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        hashes = [digest(joined, SEED)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = np.concatenate(([0], ends[:-1] + 1))
-        last = shingle - 1
-        hashes = [digest(joined[s:e], SEED) for s, e in zip(starts[:-last or None].tolist(), ends[last:].tolist())]
+        return [digest(joined, SEED)]
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    last = shingle - 1
+    return [digest(joined[s:e], SEED) for s, e in zip(starts[:-last or None].tolist(), ends[last:].tolist())]
+
+
+def text_fingerprint(text: str | None, shingle: int = 4) -> int:
+    hashes = shingle_hashes(text, shingle)
+    if not hashes:
+        return 0
     lanes = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8) + _LANES
     counts = np.bincount(lanes.ravel(), minlength=2048).reshape(8, 256) @ _BITS
     return int.from_bytes(np.packbits((2 * counts > len(hashes)).ravel(), bitorder="little").tobytes(), "little")
@@ -139,9 +145,13 @@ def _spread(prints: DataFrame, named: DataFrame, salts: int = 16) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
-    """Documents that are the first of their component, all columns kept; repeated rows of an id leave one.
-    Rows without an id stay, since nothing names them."""
-    found = near_duplicates(docs, **options)
+    """``docs`` without all but the first of each component of fingerprints."""
+    return first_of_each(docs, near_duplicates(docs, **options))
+
+
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Documents that are the first of their component in ``found`` (doc_id, component_id), all columns kept;
+    repeated rows of an id leave one.  Rows without an id stay, since nothing names them."""
     losers = found.filter("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(losers, "doc_id", "left_anti")
     ids = materialize(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "simhash-repeats")
