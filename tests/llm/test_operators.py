@@ -238,6 +238,16 @@ def test_patterns_find_unseen_identifiers(spark):
     assert len(got) == len(texts) + 1
 
 
+def test_identifiers_written_with_spaces(spark):
+    seeds = [f"reach me under +1 (743) 555-38{k:02d} today" for k in range(20)]
+    texts = [*seeds, "reach me under (743) 555-3824 today", "reach me under 1234 5678 9012, 77 of us", "reach me under 1234 5678\n9012", "the years 1234 5678 passed"]
+    got = {r.doc_id: personal_data_text(r.all_spans) for r in personal_data.find(documents(spark, texts)).collect()}
+    assert [got[k] for k in (20, 21, 22, 23)] == ["id:16:29", "id:15:29", "id:15:24", ""]
+    assert all(got[k] == "phone:15:32" for k in range(20))
+    kept = {r.doc_id: r.text for r in personal_data.redact(documents(spark, texts)).collect()}
+    assert kept[21] == "reach me under [ID], 77 of us" and kept[0] == "reach me under [PHONE] today"
+
+
 def personal_data_text(spans):
     return ",".join(f"{s.k}:{s.s}:{s.e}" for s in spans)
 

@@ -3,8 +3,8 @@
 The four base kinds are matched natively; what a match leaves over on either side comes from
 splitting by the same pattern, which gives positions without any marker in the text.
 
-Their spans seed the bootstrap.  Every token with a digit or an at sign is an instance; the two words before
-it are its pattern.  Patterns and instances form a bipartite graph that is scored in rounds: a pattern's
+Their spans seed the bootstrap.  Every token with a digit or an at sign is an instance, and so are adjacent ones
+together if they are parts of one span or of a number written with spaces; the two words before it are its pattern.  Patterns and instances form a bipartite graph that is scored in rounds: a pattern's
 score is the mean score of its distinct instances, damped for few; an instance that is no
 seed gets one minus the product of its confident patterns' doubts.  Patterns need ``support`` distinct known
 instances and ``confidence``; instances that reach it become known for the next round.  New spans
@@ -97,7 +97,7 @@ def _checked(text: Column, kind: str, pattern: str) -> Column:
 
 
 def _instances(text: Column, spans: Column) -> Column:
-    """array<struct<pattern, token, s, e, seed>>: tokens with a digit or at sign, and the two words before."""
+    """array<struct<pattern, token, s, e, seed>>: runs of tokens with a digit or at sign, and the two words before."""
 
     def of(x: Column) -> Column:
         lead = F.length(F.regexp_extract(x["m"], r"^[\"'(\[{<]*", 0))
@@ -108,7 +108,30 @@ def _instances(text: Column, spans: Column) -> Column:
         seed = F.exists(spans, lambda b: (b["s"] < e) & (b["e"] > s))
         return F.struct(context.alias("pattern"), F.substr(x["m"], lead + 1, F.greatest(e - s, F.lit(0))).alias("token"), s.alias("s"), e.alias("e"), seed.alias("seed"))
 
-    return F.when(text.rlike("[0-9@]"), F.transform(matches(text, TOKEN), of)).otherwise(F.array().cast("array<struct<pattern:string,token:string,s:int,e:int,seed:boolean>>"))
+    return F.when(text.rlike("[0-9@]"), F.transform(_runs(text, spans), of)).otherwise(F.array().cast("array<struct<pattern:string,token:string,s:int,e:int,seed:boolean>>"))
+
+
+def _runs(text: Column, spans: Column) -> Column:
+    """Tokens, those of one identifier written with spaces joined: parts of one base span, or tokens with
+    digits outside any, with blanks alone between them and no punctuation that ends a phrase."""
+
+    def owner(x: Column) -> Column:
+        return F.coalesce(F.array_min(F.transform(F.filter(spans, lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"])), lambda b: b["s"])), F.lit(-1))
+
+    def starts_anew(ts: Column, i: Column) -> Column:
+        a, b = F.get(ts, i - 1), F.get(ts, i)
+        loose = ~F.contains(a["m"], F.lit("@")) & ~F.contains(b["m"], F.lit("@")) & ~a["m"].rlike("[.,;:!?]$")
+        return F.coalesce(~(b["before"].rlike(r"^[\x20\t]+$") & (a["own"] == b["own"]) & ((b["own"] >= 0) | loose)), F.lit(True))
+
+    def joined(ts: Column) -> Column:
+        heads = F.filter(ts, lambda x, i: x["anew"])
+        ends = F.transform(F.filter(ts, lambda x, i: F.coalesce(F.get(ts, i + 1)["anew"], F.lit(True))), lambda x: x["e"])
+        whole = lambda x, e: F.when(x["e"] == e, x["m"]).otherwise(F.substr(text, x["s"] + 1, e - x["s"]))
+        return F.zip_with(heads, ends, lambda x, e: F.struct(x["s"].alias("s"), e.alias("e"), whole(x, e).alias("m"), x["before"].alias("before")))
+
+    owned = F.transform(matches(text, TOKEN), lambda x: x.withField("own", owner(x)))
+    marked = let(owned, lambda ts: F.transform(ts, lambda x, i: x.withField("anew", starts_anew(ts, i))))
+    return let(marked, joined)
 
 
 def _like_identifier(token: Column) -> Column:
