@@ -111,16 +111,66 @@ def test_rotated_order(spark, rotation, want):
 
 
 def test_clusters_and_fusion():
-    assert align.cluster_lines([(50, 100, 150, 120), (160, 100, 300, 120), (50, 140, 200, 160)]) == [[0, 1], [2]]
-    dealt = align.fuse(["Daer", "Davld", "Todav is", "poling dav"], [0.5] * 4, [[0, 1], [2, 3]], ["Dear David", "Today is polling day"])
-    assert dealt == [("Dear David", "fused"), ("Today is polling day", "fused")]
-    assert align.fuse(["Invoice total 10.00"], [0.97], [[0]], ["unrelated words of another page"]) == [("Invoice total 10.00", "paddle")]
-    assert align.fuse(["Inv0lce tota1 1O.OO"], [0.2], [[0]], ["Invoice total 10.00"])[0] == ("Invoice total 10.00", "fused")
-    assert align.spread_words(["zzz qqq", "vvv"], ["alpha beta"]) is None
-    assert align.align(["first line", "second row"], ["first line!", "second row."]) == {0: 0, 1: 1}
+    assert align.cluster_lines([(0, 10, 40, 30), (60, 12, 90, 31), (5, 50, 70, 70)]) == [[0, 1], [2]]
+    assert align.fuse(["M0rn1ng ta1de", "cornes ear1y"], [0.5, 0.5], "Morning tide\ncomes early") == ["Morning tide", "comes early"]
+    # One line of prose flows over the short lines that it covers.
+    assert align.fuse(["qu1et r1ver", "runs s1owly", "to the sea"], [0.4] * 3, "quiet river runs slowly to the sea") == ["quiet river", "runs slowly", "to the sea"]
+    assert align.fuse(["Freight 42.50 due"], [0.97], "herons nest in upland bogs") == [""]
+    assert align.fuse(["Fre1ght 42.5O dve"], [0.2], "Freight 42.50 due") == ["Freight 42.50 due"]
+    assert align.fuse(["one"], [0.2], "  ") == [""]
+    assert align.spread_words(["ggg kkk", "ppp"], "alder birch") is None
+    assert align.align(["north gate", "south gate"], ["north gate!", "south gate."]) == {0: 0, 1: 1}
     assert align.similarity("tide", "diet") == 0.25 and align.similarity("diet", "tide") == 0.5
 
 
+def test_columns_are_read_one_after_the_other():
+    boxes = [(0, 0, 40, 10), (60, 0, 100, 10), (0, 20, 40, 30), (60, 20, 100, 30), (200, 5, 220, 15)]
+    left, right = (0, 0, 50, 100), (55, 0, 110, 100)
+    assert align.cluster_by_region(boxes, [left, right], [0, 1]) == [[0], [2], [1], [3], [4]]
+    assert align.cluster_by_region(boxes, [left, right], [1, 0]) == [[1], [3], [0], [2], [4]]
+
+
+def _whole_table(left, right, gap=align.GAP):
+    from difflib import SequenceMatcher
+
+    same = lambda a, b: SequenceMatcher(None, a.lower(), b.lower()).ratio() if a and b else 0.0
+    best = [[0.0] * (len(right) + 1) for _ in range(len(left) + 1)]
+    for i in range(len(left) + 1):
+        for j in range(len(right) + 1):
+            ways = [best[i - 1][j] + gap] if i else []
+            ways += [best[i][j - 1] + gap] if j else []
+            ways += [best[i - 1][j - 1] + same(left[i - 1], right[j - 1])] if i and j else []
+            best[i][j] = max(ways, default=0.0)
+    out, i, j = [], len(left), len(right)
+    while i or j:
+        if i and j and best[i][j] == best[i - 1][j - 1] + same(left[i - 1], right[j - 1]):
+            i, j = i - 1, j - 1
+            out.append((i, j))
+        elif i and best[i][j] == best[i - 1][j] + gap:
+            i -= 1
+            out.append((i, None))
+        else:
+            j -= 1
+            out.append((None, j))
+    return out[::-1]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("abA1", min_size=1, max_size=5), max_size=25), st.lists(st.text("abA1", min_size=1, max_size=5), max_size=25))
+def test_pruned_alignment_is_that_of_the_whole_table(a, b):
+    assert align.steps(a, b) == _whole_table(a, b)
+
+
+def test_fused_segments_keep_engine_box_and_confidence(spark):
+    seg = BOX + "det_text string, det_conf double, engine string"
+    segments = spark.createDataFrame([(1, 0, 0, 0.0, 0.0, 20.0, 10.0, "warm ra1n", 0.4, "vision"), (1, 0, 1, 30.0, 1.0, 50.0, 11.0, "fal1s", None, "vision"), (1, 0, 2, 0.0, 40.0, 50.0, 50.0, "Pier 9 shut", 0.95, "vision")], seg)
+    told = spark.createDataFrame([(1, 0, "warm rain falls", "m")], "doc_id long, pg int, reading string, model string")
+    rows = align.fuse_pages(segments, told).orderBy("line").collect()
+    assert [(r.best_text, r.source, r.read_by, r.det_conf) for r in rows] == [("warm rain falls", "fused", "m", 0.4), ("Pier 9 shut", "vision", "", 0.95)]
+    assert (rows[0].x0, rows[0].x1, rows[0].id, rows[0].members) == (0.0, 50.0, "p0-f0", [0, 1])
+    assert align.fuse_pages(segments.limit(0), told).count() == 0
+
+
 def test_fill_cells(spark):
     html = "<table><tr><td></td><td class='a'></td><td></td><td> </td></tr></table>"
     cells = F.array(F.struct(F.lit("A & B").alias("text"), F.lit("clean").alias("confidence")), F.struct(F.lit("C").alias("text"), F.lit("clean").alias("confidence")))

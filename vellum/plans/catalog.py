@@ -414,7 +414,7 @@ def line_clusters(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def fused_lines(spark: SparkSession, d: str) -> DataFrame:
-    return align.fused_lines(c.detected(spark, d), "t")
+    return align.fuse_pages(c.detected(spark, d), c.readings(spark, d), c.regions(spark, d))
 
 
 def _box_join(spark: SparkSession, d: str) -> DataFrame:
