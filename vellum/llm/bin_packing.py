@@ -14,7 +14,8 @@ an empty table gives no rows; documents longer than the largest length are split
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -24,8 +25,10 @@ from .common import materialize
 
 CAPACITIES = (2_048, 4_096, 8_192, 16_384)
 #: What opening a sequence costs beside its length.
-OVERHEAD = 64
+OVERHEAD = 8
 GROUP = 40_000
+#: Different lengths that an estimate of a bin's fill looks at.
+LOOK = 64
 
 
 def pieces(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, length: Column | None = None) -> DataFrame:
@@ -38,30 +41,72 @@ def pieces(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, length: Co
     return cut.select("doc_id", "piece", (F.col("piece") * most).alias("start"), F.least(F.lit(most), F.col("size") - F.col("piece") * most).alias("length"))
 
 
-def pack_lengths(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD) -> tuple[list[int], list[int], list[int]]:
-    """Bin and place of each length (in the order given), and the final capacity of each bin."""
-    sizes = sorted(capacities)
-    order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
+class _Ahead:
+    """The pieces still to place, longest first: what they would fill of a space."""
+
+    def __init__(self, lengths: list[int]):
+        self.down = [-n for n in lengths]
+        self.sums = [0, *accumulate(reversed(lengths))][::-1]
+
+    def fill(self, space: int, at: int, steps: int = LOOK) -> int:
+        """Units that the pieces from position ``at`` on put into ``space``, the longest that fits first."""
+        start, n = space, len(self.down)
+        for _ in range(steps):
+            at = bisect_left(self.down, -space, at)
+            if at == n or not space:
+                return start - space
+            length = -self.down[at]
+            alike = bisect_right(self.down, self.down[at], at)
+            space -= length * min(alike - at, space // length)
+            at = alike
+        return start - space + min(space, self.sums[at])
+
+
+def _place(lengths: list[int], order: list[int], choose) -> tuple[list[int], list[int], list[int]]:
+    """Bin and place of each length by best fit, and what each bin holds; ``choose`` sizes a new bin."""
     bins, places = [0] * len(lengths), [0] * len(lengths)
     filled: list[int] = []
     room: list[tuple[int, int]] = []  # (space left, bin), ascending
-    left = sum(lengths)
-    for i in order:
+    for k, i in enumerate(order):
         n = lengths[i]
         at = bisect_left(room, (n, -1))
         if at < len(room):
             space, b = room.pop(at)
         else:
-            b = len(filled)
+            b, space = len(filled), choose(n, k + 1)
             filled.append(0)
-            fits = [c for c in sizes if c >= n]
-            space = min(fits, key=lambda c: ((c + overhead) / (n + min(c - n, left - n)), c))
         bins[i], places[i] = b, filled[b]
         filled[b] += n
-        left -= n
         if space > n:
             insort(room, (space - n, b))
-    return bins, places, [next(c for c in sizes if c >= f) for f in filled]
+    return bins, places, filled
+
+
+def pack_lengths(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD) -> tuple[list[int], list[int], list[int]]:
+    """Bin and place of each length (in the order given), and the final capacity of each bin.
+
+    A new bin takes the permitted length that costs least for each unit which it and the pieces still to come would
+    fill of it.  The packings that open one length alone are made as well, and the one of least total length, then
+    of fewest bins, is returned, so that the joint choice is never worse than any single length."""
+    sizes = sorted(capacities)
+    order = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
+    if not order:
+        return [], [], []
+    ahead = _Ahead([lengths[i] for i in order])
+
+    def jointly(n: int, at: int) -> int:
+        return min((c for c in sizes if c >= n), key=lambda c: ((c + overhead) / (n + ahead.fill(c - n, at)), c))
+
+    longest = lengths[order[0]]
+    ways = [jointly, *((lambda n, at, c=c: c) for c in sizes if c >= longest)]
+    best = None
+    for way in ways:
+        bins, places, filled = _place(lengths, order, way)
+        final = [next(c for c in sizes if c >= f) for f in filled]
+        cost = (sum(final), len(final))
+        if best is None or cost < best[0]:
+            best = cost, bins, places, final
+    return best[1:]
 
 
 def pack(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, length: Column | None = None, group: int = GROUP) -> DataFrame:

@@ -27,12 +27,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import free_names, materialize
 from .components import connected_components
 
 SEED = 42
 RADIUS = 4
 BUCKET = 128
+#: Rows to remove that may be broadcast: two numbers each.
+BROADCAST_ROWS = 1_000_000
 _LANES = (np.arange(8, dtype=np.uint16) * 256)[None, :]
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
@@ -62,14 +64,14 @@ def text_fingerprint(text: str | None, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp long) of every row."""
+    """(doc_id, h, fp long) of every row; ``h`` is a hash of the text that tells rows of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((text_fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.fromiter((text_fingerprint(t.as_py(), shingle) for t in b.column(2)), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], names=["doc_id", "h", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text").mapInArrow(run, "doc_id long, h long, fp long")
 
 
 def _segments(m: int) -> list[tuple[int, int]]:
@@ -121,7 +123,7 @@ def linked_classes(classes: DataFrame, segments: int, bucket: int = BUCKET) -> D
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, segments: int | None = None, bucket: int = BUCKET) -> DataFrame:
-    """(doc_id, fp, component_id): fingerprints link at 4 or fewer differing bits, components are the
+    """(doc_id, h, fp, component_id): fingerprints link at 4 or fewer differing bits, components are the
     closure, named by their smallest doc_id.  ``segments``: 3, or 2 (longer keys, larger balls) from
     2**26 distinct fingerprints on; either finds every pair."""
     prints = materialize(fingerprints(docs, shingle), "simhash-prints")
@@ -141,7 +143,7 @@ def _spread(prints: DataFrame, named: DataFrame, salts: int = 16) -> DataFrame:
     does not land in one task."""
     left = prints.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)))
     right = named.withColumn("salt", F.explode(F.array([F.lit(i).cast("long") for i in range(salts)])))
-    return left.join(right, ["fp", "salt"], "left").select("doc_id", "fp", "component_id")
+    return left.join(right, ["fp", "salt"], "left").select("doc_id", "h", "fp", "component_id")
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
@@ -150,13 +152,30 @@ def deduplicate(docs: DataFrame, **options) -> DataFrame:
 
 
 def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Documents that are the first of their component in ``found`` (doc_id, component_id), all columns kept;
-    repeated rows of an id leave one.  Rows without an id stay, since nothing names them."""
-    losers = found.filter("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(losers, "doc_id", "left_anti")
-    ids = materialize(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "simhash-repeats")
-    if ids.isEmpty():
+    """``docs`` with one row of each component of ``found`` (doc_id, h, component_id), all columns kept: the row whose
+    id names the component; of several rows of that id in it, the one with the least h, then the least columns.
+    Other rows of the id, in other components, stay.  Rows without an id stay, since nothing names them.
+
+    Only ids and hashes are shuffled.  Rows to remove are broadcast up to BROADCAST_ROWS, beyond it they meet the
+    documents in a sort-merge join."""
+    named = found.filter("doc_id is not null").select("doc_id", "h", "component_id")
+    own = named.filter("doc_id = component_id").groupBy("doc_id").agg(F.min("h").alias("first"), F.count("*").alias("k"))
+    losers = named.filter("doc_id <> component_id").select("doc_id", "h")
+    several = materialize(own.filter("k > 1").select("doc_id", "first"), "simhash-repeats")
+    if not several.isEmpty():
+        losers = losers.union(named.filter("doc_id = component_id").join(several, "doc_id").filter("h <> first").select("doc_id", "h"))
+    d, h, first = free_names(docs.columns, "_d", "_h", "_first")
+    losers = materialize(losers.distinct().withColumnsRenamed({"doc_id": d, "h": h}), "simhash-losers")
+    small = losers.count() <= BROADCAST_ROWS
+    same = (docs["doc_id"].cast("long") == F.col(d)) & (F.xxhash64(docs["text"]) == F.col(h))
+    kept = docs.join(F.broadcast(losers) if small else losers, same, "left_anti")
+    if several.isEmpty():
         return kept
-    single = kept.join(ids, "doc_id", "left_anti")
-    repeats = kept.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(repeats)
+    # Repeats of the row that stays: the least by its columns.
+    named_once = several.select(F.col("doc_id").alias(d), F.col("first").alias(first))
+    same = (kept["doc_id"].cast("long") == F.col(d)) & (F.xxhash64(kept["text"]) == F.col(first))
+    single = kept.join(named_once, same, "left_anti")
+    whole = F.struct(*kept.columns)
+    order = F.struct(*(c for c, t in kept.dtypes if "map<" not in t and t != "variant"))
+    repeats = kept.join(named_once, same, "left_semi").groupBy("doc_id", F.xxhash64("text").alias(h)).agg(F.min_by(whole, order).alias(first))
+    return single.unionByName(repeats.select(f"{first}.*"))
