@@ -2,15 +2,16 @@
 
 A vector is the sum of one codeword from each of several full-dimensional codebooks, each fitted to
 what the earlier ones leave over; a beam search picks the codewords.  A query scores a code by table
-look-ups (its products with all codewords) and the stored norm of the sum; the best of each block
+look-ups (its products with all codewords) and the stored norm of the sum; the best of the whole index
 are measured again on the original vectors.
 
-Codebooks are fitted on at most ``sample`` rows by hash of the id; every row is indexed.  The query set is
-dealt in blocks against blocks of the index, and each pair of blocks returns its nearest alone.
+Codebooks are fitted on at most ``sample`` rows by hash of the id; every row is indexed.  The index holds codes and
+norms alone; the query set is dealt in blocks that are sent to it, and originals are read for the shortlists only.
 
 Cases: vectors that are null, zero, of another length than most of the sample, or hold null or non-finite
 components take no part as query or candidate; equal distances go to the smaller vec_id, also before
-reranking; repeated rows with one vec_id count as one row; fewer candidates than k: all of them.
+reranking; equal rows count once; different vectors of one vec_id are candidates each, and the least of them asks;
+fewer candidates than k: all of them.
 """
 
 from __future__ import annotations
@@ -26,10 +27,13 @@ from pyspark.sql import functions as F
 
 from .common import fitted, materialize
 
-SAMPLE = 16_384
-BOOKS, WORDS, BEAM = 16, 256, 6
-SHORTLIST = 256
+SAMPLE = 8_192
+BOOKS, WORDS, BEAM = 32, 256, 3
+#: Candidates of each query, over the whole index, that are measured exactly.
+SHORTLIST = 128
 CANDIDATES, QUERIES, SLICE = 16_384, 1_024, 4_096
+#: Query blocks that are broadcast at a time, and shortlist rows (two numbers each) that may be.
+BLOCKS, BROADCAST_ROWS = 16, 1_000_000
 
 
 def usable(v: Column) -> Column:
@@ -37,14 +41,22 @@ def usable(v: Column) -> Column:
     return v.isNotNull() & finite & F.exists(v, lambda x: x != 0)
 
 
-def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
+def _nearest_word(x: np.ndarray, words: np.ndarray) -> np.ndarray:
+    far = x @ words.T
+    far *= -2
+    far += (words**2).sum(1)
+    return far.argmin(1)
+
+
+def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 5) -> np.ndarray:
     words = x[rng.choice(len(x), min(k, len(x)), replace=False)].copy()
     for _ in range(rounds):
-        near = (-2 * x @ words.T + (words**2).sum(1)).argmin(1)
-        sums = np.zeros_like(words)
-        np.add.at(sums, near, x)
-        n = np.bincount(near, minlength=len(words))
-        words = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], x[rng.integers(0, len(x), len(words))])
+        near = _nearest_word(x, words)
+        order = near.argsort(kind="stable")
+        used, first, n = np.unique(near[order], return_index=True, return_counts=True)
+        made = x[rng.integers(0, len(x), len(words))]
+        made[used] = np.add.reduceat(x[order], first, axis=0) / n[:, None]
+        words = made
     return words.astype(np.float32)
 
 
@@ -58,7 +70,7 @@ class Quantizer:
         for _ in range(books):
             c = _kmeans(rest, words, rng)
             found.append(c)
-            rest = rest - c[(-2 * rest @ c.T + (c**2).sum(1)).argmin(1)]
+            rest = rest - c[_nearest_word(rest, c)]
         return cls(found)
 
     def encode(self, x: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
@@ -70,13 +82,21 @@ class Quantizer:
         rest = x.astype(np.float32)[:, None, :]
         codes = np.zeros((n, 1, 0), np.uint8)
         error = np.zeros((n, 1), np.float32)
+        row = np.arange(n)
         for c in self.books:
-            e = error[:, :, None] - 2 * rest @ c.T + (c**2).sum(1)
+            e = rest.reshape(-1, rest.shape[2]) @ c.T
+            e *= -2
+            e += (c**2).sum(1)
+            e += error.reshape(-1, 1)
             flat = e.reshape(n, -1)
             take = min(beam, flat.shape[1])
-            best = np.argpartition(flat, take - 1, axis=1)[:, :take]
+            best = np.empty((n, take), np.int64)
+            error = np.empty((n, take), np.float32)
+            for k in range(take):  # a few passes for the least are faster than a partition
+                best[:, k] = flat.argmin(1)
+                error[:, k] = flat[row, best[:, k]]
+                flat[row, best[:, k]] = np.inf
             at, word = best // len(c), best % len(c)
-            error = np.take_along_axis(flat, best, 1)
             rest = np.take_along_axis(rest, at[:, :, None], 1) - c[word]
             codes = np.concatenate([np.take_along_axis(codes, at[:, :, None], 1), word[:, :, None].astype(np.uint8)], axis=2)
         codes = codes[np.arange(n), error.argmin(1)]
@@ -87,28 +107,42 @@ class Quantizer:
         return [-2 * q @ c.T for c in self.books]
 
 
-def _nearest(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, norms: np.ndarray, qid: np.ndarray, q: np.ndarray, z: Quantizer, k: int, shortlist: int):
-    """The k nearest of one block of candidates (ascending ids) for each query."""
-    tables = z.tables(q.astype(np.float32))
-    kept: list[list[np.ndarray]] = [[] for _ in qid]
-    for s in range(0, len(ids), SLICE):
-        part = codes[s : s + SLICE]
-        score = np.repeat(norms[None, s : s + SLICE], len(qid), 0)
-        for m, t in enumerate(tables):
-            score += t[:, part[:, m]]
-        r = min(shortlist, score.shape[1])
-        edge = np.partition(score, r - 1, axis=1)[:, r - 1]
-        for i in range(len(qid)):
-            at = np.flatnonzero(score[i] <= edge[i])
-            if len(at) > r:  # ties on the edge go to the smaller ids
-                at = np.concatenate([at[score[i, at] < edge[i]], at[score[i, at] == edge[i]]])[:r]
-            kept[i].append(at + s)
-    for i in range(len(qid)):
-        at = np.concatenate(kept[i])
-        at = at[ids[at] != qid[i]]
-        d = np.sqrt(((x[at] - q[i]) ** 2).sum(1))
-        first = np.lexsort((ids[at], d))[:k]
-        yield int(qid[i]), ids[at[first]], d[first]
+@dataclass
+class _Shortlists:
+    """The ``size`` best scored candidates so far of each query of a block, ties to the smaller ids."""
+
+    z: Quantizer
+    qid: np.ndarray
+    size: int
+
+    def start(self, q: np.ndarray) -> None:
+        self.tables = self.z.tables(q.astype(np.float32))
+        self.ids = np.zeros((len(self.qid), 0), np.int64)
+        self.scores = np.zeros((len(self.qid), 0), np.float32)
+
+    def add(self, ids: np.ndarray, codes: np.ndarray, norms: np.ndarray) -> None:
+        """Score one block of candidates."""
+        for s in range(0, len(ids), SLICE):
+            part, own = codes[s : s + SLICE], ids[s : s + SLICE]
+            score = np.repeat(norms[None, s : s + SLICE], len(self.qid), 0)
+            for m, t in enumerate(self.tables):
+                score += t[:, part[:, m]]
+            score[own[None, :] == self.qid[:, None]] = np.inf
+            self._keep(np.concatenate([self.scores, score], axis=1), np.concatenate([self.ids, np.broadcast_to(own, score.shape)], axis=1))
+
+    def _keep(self, scores: np.ndarray, ids: np.ndarray) -> None:
+        if scores.shape[1] > self.size:
+            edge = np.partition(scores, self.size - 1, axis=1)[:, self.size - 1 : self.size]
+            # Below the edge all stay; of those on it the smaller ids, as many as there is room for.
+            rank = np.where(scores < edge, np.int64(-1 << 62), np.where(scores == edge, ids, np.int64((1 << 63) - 1)))
+            best = np.argpartition(rank, self.size - 1, axis=1)[:, : self.size]
+            scores, ids = np.take_along_axis(scores, best, 1), np.take_along_axis(ids, best, 1)
+        self.scores, self.ids = scores, ids
+
+    def rows(self) -> pa.RecordBatch:
+        found = np.isfinite(self.scores)
+        which = np.repeat(self.qid[:, None], self.ids.shape[1], 1)[found]
+        return pa.RecordBatch.from_arrays([pa.array(which), pa.array(self.ids[found]), pa.array(self.scores[found])], names=["query_id", "vec_id", "near"])
 
 
 def fit(vectors: DataFrame, sample: int = SAMPLE) -> tuple[Quantizer | None, int]:
@@ -126,59 +160,104 @@ def fit(vectors: DataFrame, sample: int = SAMPLE) -> tuple[Quantizer | None, int
     return fitted(vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample), of)
 
 
-def _pack(vectors: DataFrame, z: Quantizer, size: int, coded: bool) -> DataFrame:
-    """Rows of up to ``size`` vectors each: ids, components, codes and norms as binary."""
+def _vectors(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and components of up to ``size`` rows at a time."""
+    ids, xs, n = [], [], 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        i = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        x = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(i), -1)
+        for s in range(0, len(i), size):
+            ids.append(i[s : s + size])
+            xs.append(x[s : s + size])
+            n += len(ids[-1])
+            if n >= size:
+                yield np.concatenate(ids), np.concatenate(xs)
+                ids, xs, n = [], [], 0
+    if n:
+        yield np.concatenate(ids), np.concatenate(xs)
+
+
+def _index(vectors: DataFrame, z: Quantizer) -> DataFrame:
+    """Rows of up to CANDIDATES vectors: ids, codes and norms as binary.  No components, and no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def row(ids: list, xs: list) -> pa.RecordBatch:
-            i, x = np.concatenate(ids), np.concatenate(xs)
-            order = np.argsort(i, kind="stable")
-            i, x = i[order], x[order]
-            codes, norms = z.encode(x) if coded else (np.zeros(0, np.uint8), np.zeros(0, np.float32))
-            return pa.RecordBatch.from_pydict({"ids": [i.tobytes()], "x": [x.tobytes()], "codes": [codes.tobytes()], "norms": [norms.astype(np.float32).tobytes()]})
-
-        ids, xs, n = [], [], 0
-        for b in batches:
-            if not b.num_rows:
-                continue
-            i = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            x = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(i), -1)
-            for s in range(0, len(i), size):
-                ids.append(i[s : s + size])
-                xs.append(x[s : s + size])
-                n += len(ids[-1])
-                if n >= size:
-                    yield row(ids, xs)
-                    ids, xs, n = [], [], 0
-        if n:
-            yield row(ids, xs)
-
-    return vectors.select("vec_id", "embedding").mapInArrow(run, "ids binary, x binary, codes binary, norms binary")
+        for i, x in _vectors(batches, CANDIDATES):
+            codes, norms = z.encode(x)
+            yield pa.RecordBatch.from_pydict({"ids": [i.tobytes()], "codes": [codes.tobytes()], "norms": [norms.astype(np.float32).tobytes()]})
+
+    return vectors.select("vec_id", "embedding").mapInArrow(run, "ids binary, codes binary, norms binary")
+
+
+def _query_blocks(queries: DataFrame, n: int) -> DataFrame:
+    """(qb, qids, qx): the queries dealt by hash to ``n`` blocks."""
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("vec_id")
+        x = group["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        return pa.Table.from_pydict({"qb": group["qb"][:1], "qids": [group["vec_id"].to_numpy().astype(np.int64).tobytes()], "qx": [x.tobytes()]})
+
+    dealt = queries.select(F.pmod(F.xxhash64("vec_id"), F.lit(n)).alias("qb"), "vec_id", "embedding")
+    return dealt.groupBy("qb").applyInArrow(run, "qb long, qids binary, qx binary")
+
+
+def _distinct(embeddings: DataFrame) -> DataFrame:
+    """Usable rows, equal ones once.  Only rows of ids that occur more than once are shuffled whole."""
+    rows = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
+    many = rows.groupBy("vec_id").count().filter("count > 1").select("vec_id")
+    many = materialize(many, "ann-repeats")
+    if many.isEmpty():
+        return rows
+    same = rows.join(many, "vec_id", "left_semi").distinct()
+    return rows.join(many, "vec_id", "left_anti").unionByName(same)
 
 
 def search(embeddings: DataFrame, is_query: Column, k: int = 10, shortlist: int = SHORTLIST) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest by Euclidean distance of each query row."""
-    vectors = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).dropDuplicates(["vec_id"])
+    """(query_id, rank, vec_id, score): the k nearest by Euclidean distance of each query row.
+
+    The queries go, QUERIES * BLOCKS of them at a time, to wherever the codes are; each task keeps one shortlist a
+    query over all its codes, the shortlists of a query are merged to one of ``shortlist`` rows, and only those are
+    measured on the original vectors."""
+    spark = embeddings.sparkSession
+    vectors = _distinct(embeddings)
     z, d = fit(vectors)
-    schema = "query_id long, vec_id long, score double"
     if z is None:
-        return embeddings.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     vectors = vectors.filter(F.size("embedding") == d)
-    queries = materialize(_pack(vectors.filter(is_query), z, QUERIES, False).select("ids", "x"), "ann-queries")
-    # Number the query blocks; the index is dealt to each number, so blocks meet by key.
-    numbered = queries.select(F.row_number().over(Window.orderBy(F.xxhash64("ids"), "ids")).alias("qb"), F.col("ids").alias("qids"), F.col("x").alias("qx"))
-    n = max(queries.count(), 1)
-    index = materialize(_pack(vectors, z, CANDIDATES, True), "ann-index")
-    dealt = index.withColumn("qb", F.explode(F.sequence(F.lit(1), F.lit(n))))
-    pairs = dealt.repartition(max(8, min(n * 8, 4096)), "qb", F.xxhash64("ids")).join(F.broadcast(numbered) if n <= 64 else numbered, "qb")
+    # An id with several vectors asks with the least of them.
+    queries = materialize(vectors.filter(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "ann-queries")
+    n = max(1, -(-queries.count() // QUERIES))
+    blocks = materialize(_query_blocks(queries, n), "ann-blocks")
+    index = materialize(_index(vectors, z), "ann-index")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, _Shortlists] = {}
         for b in batches:
-            for ids, x, codes, norms, qids, qx in zip(*(b.column(c).to_pylist() for c in range(6))):
-                i, q = np.frombuffer(ids, np.int64), np.frombuffer(qids, np.int64)
-                out = list(_nearest(i, np.frombuffer(x, np.float64).reshape(-1, d), np.frombuffer(codes, np.uint8).reshape(len(i), -1), np.frombuffer(norms, np.float32), q, np.frombuffer(qx, np.float64).reshape(-1, d), z, k, shortlist))
-                yield pa.RecordBatch.from_pydict({"query_id": pa.array(np.concatenate([np.full(len(v), a) for a, v, _ in out]), pa.int64()), "vec_id": pa.array(np.concatenate([v for _, v, _ in out]), pa.int64()), "score": pa.array(np.concatenate([s for _, _, s in out]), pa.float64())})
-
-    near = pairs.select("ids", "x", "codes", "norms", "qids", "qx").mapInArrow(run, schema)
+            for ids, codes, norms, qb, qids, qx in zip(*(b.column(c).to_pylist() for c in range(6))):
+                if qb not in held:
+                    held[qb] = _Shortlists(z, np.frombuffer(qids, np.int64), shortlist)
+                    held[qb].start(np.frombuffer(qx, np.float64).reshape(-1, d))
+                i = np.frombuffer(ids, np.int64)
+                held[qb].add(i, np.frombuffer(codes, np.uint8).reshape(len(i), -1), np.frombuffer(norms, np.float32))
+        for lists in held.values():
+            yield lists.rows()
+
+    best = F.row_number().over(Window.partitionBy("query_id").orderBy("near", "vec_id"))
+    found = None
+    for at in range(0, n, BLOCKS):
+        few = blocks.filter(F.col("qb").between(at, at + BLOCKS - 1))
+        met = index.withColumn("qb", F.explode(F.sequence(F.lit(at).cast("long"), F.lit(min(n, at + BLOCKS) - 1).cast("long")))).join(F.broadcast(few), "qb")
+        near = met.select("ids", "codes", "norms", "qb", "qids", "qx").mapInArrow(run, "query_id long, vec_id long, near float")
+        # An id with two vectors may be listed twice.
+        near = near.withColumn("n", best).filter(F.col("n") <= shortlist).select("query_id", "vec_id").distinct()
+        near = materialize(near, "ann-near")
+        found = near if found is None else found.union(near)
+    few = found.count() <= BROADCAST_ROWS
+    asked = queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+    told = vectors.join(F.broadcast(found) if few else found, "vec_id")
+    told = told.join(F.broadcast(asked) if n <= BLOCKS else asked, "query_id")
+    score = F.sqrt(F.aggregate(F.zip_with("embedding", "q", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x))
+    measured = told.select("query_id", "vec_id", score.alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return measured.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
