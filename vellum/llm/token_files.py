@@ -224,7 +224,7 @@ def write_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, uni
     """Write shards under ``path``; the committed manifest (part, path, n_docs, n_tokens)."""
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     if shards is None:
-        size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         shards = max(8, min(-(-size // SHARD_BYTES), 1 << 20))
     end = array("I", [end_id]).tobytes()
 
