@@ -82,6 +82,49 @@ def test_bins_hold_their_pieces(lengths):
         assert at <= c and all(at > x for x in (16, 32, 64) if x < c)
 
 
+def least_total(lengths, capacities):
+    """Least total length of bins by trying every way to deal the pieces."""
+    best = [10**9]
+
+    def go(k, bins):
+        if k == len(lengths):
+            best[0] = min(best[0], sum(min(c for c in capacities if c >= b) for b in bins))
+            return
+        for i in range(len(bins)):
+            if bins[i] + lengths[k] <= max(capacities):
+                go(k + 1, [*bins[:i], bins[i] + lengths[k], *bins[i + 1 :]])
+        go(k + 1, [*bins, lengths[k]])
+
+    go(0, [])
+    return best[0]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 16), min_size=1, max_size=7))
+def test_packing_of_few_pieces_is_near_the_best_of_all(lengths):
+    capacities = (4, 8, 16)
+    total = sum(bin_packing.pack_lengths(lengths, capacities, 0)[2])
+    assert least_total(lengths, capacities) <= total <= 1.34 * least_total(lengths, capacities)
+
+
+def test_several_lengths_are_opened_and_no_single_one_is_better():
+    rng = np.random.default_rng(5)
+    lengths = rng.integers(2_700, 9_000, 2_000).tolist()
+    bins, _, final = bin_packing.pack_lengths(lengths)
+    alone = []
+    for c in (16_384,):
+        room, n = [], 0
+        for x in sorted(lengths, reverse=True):
+            at = min((k for k in range(len(room)) if room[k] >= x), key=lambda k: room[k], default=None)
+            if at is None:
+                room.append(c)
+                at = len(room) - 1
+            room[at] -= x
+        alone.append(sum(min(k for k in bin_packing.CAPACITIES if k >= c - r) for r in room))
+    assert sum(final) <= min(alone) and len({c for c in final}) > 1 and sorted(final)[len(final) // 10] < 16_384
+    assert len(bins) == len(lengths)
+
+
 def test_packing_places_every_byte(spark):
     texts = [*ODD, *ODD, *("t" * n for n in range(1, 400))]
     got = bin_packing.pack(documents(spark, texts), group=50).toPandas()
@@ -248,6 +291,32 @@ def test_identifiers_written_with_spaces(spark):
     assert kept[21] == "reach me under [ID], 77 of us" and kept[0] == "reach me under [PHONE] today"
 
 
+def test_keys_after_a_cue_are_found_and_nothing_else(spark):
+    rng = np.random.default_rng(9)
+    hexes = ["".join(rng.choice(list("0123456789abcdef"), 32)) for _ in range(40)]
+    planted = [f'some words then token = "{h}" and more' for h in hexes] + ['then token = "9f2e77c1" ends']
+    clean = [f"in {1900 + k} the {k}.5 units of part-{k * 7919} moved on" for k in range(200)]
+    rows = personal_data.find(documents(spark, planted + clean)).collect()
+    got = {r.doc_id: personal_data_text(r.all_spans) for r in rows}
+    assert all(planted[k][int(got[k].split(":")[1]) : int(got[k].split(":")[2])] == hexes[k] for k in range(40))
+    assert got[40] == "id:14:22" and not any(got[41 + k] for k in range(200))
+
+
+def test_work_on_a_long_text_grows_with_its_length(spark):
+    import time
+
+    def took(n):
+        text = " ".join(f"w{i} {i}.{i % 200}.1.2 a{i}@b.com" for i in range(n))
+        df = documents(spark, [text]).filter("text is not null")
+        start = time.time()
+        out = personal_data.redact(df).first().text
+        assert out.count("[EMAIL]") == n and out.count("[IP]") == sum(i <= 255 for i in range(n))
+        return time.time() - start
+
+    took(100)
+    assert took(8_000) < 4 * took(2_000) + 10
+
+
 def personal_data_text(spans):
     return ",".join(f"{s.k}:{s.s}:{s.e}" for s in spans)
 
@@ -307,6 +376,13 @@ def test_search_recall_and_ties(spark):
     assert np.allclose(got.score, [np.sqrt(((x[a] - x[b]) ** 2).sum()) for a, b in zip(got.query_id, got.vec_id)])
 
 
+def test_search_of_an_id_with_two_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (3, [1.0, 0.5]), (3, [9.0, 9.0]), (4, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = residual_quantizer.search(df, F.col("vec_id") % 100 == 0).orderBy("rank").collect()
+    assert [(r.vec_id, round(r.score, 3)) for r in got] == [(3, 0.5), (4, 2.0), (3, 12.042)]
+
+
 def test_search_of_few_and_none(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert [tuple(r)[:3] for r in residual_quantizer.search(few, F.col("vec_id") % 100 == 0).collect()] == [(0, 1, 1)]
@@ -427,7 +503,7 @@ def test_pipeline_stages(spark, duck, tmp_path):
     model = language_mix.train(steps[0])
     assert ids[1] == {i for i in good if (p := model.predict(texts[i]))[0] != "und" and p[1] >= 0.5}
     order = sorted(ids[1])
-    assert ids[2] == set(plain_components(order, [plain_print(texts[i]) for i in order]).values())
+    assert ids[2] == set(plain_links(order, [texts[i] for i in order]).values())
     assert ids[3] == ids[2] == ids[4]
     after = {r.doc_id: r.text for r in steps[3].collect()}
     assert not any(plain_spans(t) for t in after.values() if t)
@@ -435,6 +511,32 @@ def test_pipeline_stages(spark, duck, tmp_path):
     assert steps[4].agg(F.sum("length")).first()[0] == sum(len(t.encode()) + 1 for t in after.values())
 
 
+def test_rows_of_one_id_with_different_texts(spark):
+    from vellum.llm import shingle_sets
+
+    a, b = "the first text " * 9, "quite another thing " * 9
+    rows = [(1, a, 1), (5, a, 2), (5, b, 3), (7, b, 4), (8, a, 5), (8, a, 5), (None, a, 6), (9, "alone " * 8, 9), (9, "alone " * 8, 8), (9, "apart " * 8, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _h int")
+    for module in (simhash, shingle_sets):
+        kept = module.deduplicate(docs)
+        assert kept.columns == docs.columns
+        want = [(1, a, 1), (5, b, 3), (9, "alone " * 8, 8), (9, "apart " * 8, 7), (None, a, 6)]
+        assert sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str)
+
+
+def test_stages_on_empty_null_repeated_and_clashing_input(spark):
+    import corpus_pipeline
+
+    rows = [(1, None, None, None, None, 1), (2, "", "en", "web", 0, 2), (None, "words " * 30, "en", None, 180, 3), (4, "word " * 40, "en", "web", 200, 4), (4, "word " * 40, "en", "web", 200, 4), (4, "other 1.2.3.4 " * 40, None, "web", 560, 5)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _q int"
+    for docs in (spark.createDataFrame(rows, schema), empty(spark)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, DATA)
+            if name != "packing":
+                assert out.columns == docs.columns, name
+            assert out.count() >= 0
+
+
 # --- similarity of the pipeline's near-duplicates
 
 

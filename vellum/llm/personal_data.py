@@ -3,13 +3,19 @@
 The four base kinds are matched natively; what a match leaves over on either side comes from
 splitting by the same pattern, which gives positions without any marker in the text.
 
-Their spans seed the bootstrap.  Every token with a digit or an at sign is an instance, and so are adjacent ones
-together if they are parts of one span or of a number written with spaces; the two words before it are its pattern.  Patterns and instances form a bipartite graph that is scored in rounds: a pattern's
+Their spans seed the bootstrap, and so do tokens that look like keys (20 letters and digits or more, mixed), with a
+prior below certainty.  Every token with a digit or an at sign is an instance, and so are up to PARTS adjacent ones of a
+number written with spaces.  An instance's patterns are the two words before it; the word before it if that ends
+like a label (: = #), with the classes of characters in the instance; and the words on either side, with those classes.
+Patterns and instances form a bipartite graph that is scored until nothing changes: a pattern's
 score is the mean score of its distinct instances, damped for few; an instance that is no
 seed gets one minus the product of its confident patterns' doubts.  Patterns need ``support`` distinct known
 instances and ``confidence``; instances that reach it become known for the next round.  New spans
 are of kind ``id``.  Texts are read once; the graph holds ids, contexts and tokens only.
 
+Positions are running sums taken in blocks, and pieces of a text are cut from blocks of it, so that the work on one
+text grows with its length and not with its square.
+
 Cases: null text is empty and has no spans; repeated rows are found alike and returned each; overlapping
 spans of different kinds all count and are masked as one; tables without seeds discover nothing.
 """
@@ -31,24 +37,63 @@ PATTERNS = {
 }
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]"}
 KINDS = (*PATTERNS, "id")
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
-SUPPORT, CONFIDENCE, DAMPING, ROUNDS = 3, 0.8, 0.5, 3
+#: Stands for each character of a base span where tokens are looked for, and what the character itself becomes there.
+COVER, COVERED = "\uE000", "\uE001"
+_GAP = r"\x20\x09-\x0D"
+_LOOSE = rf"[^{_GAP}@{COVER}0-9]*+[0-9][^{_GAP}@{COVER}]*+(?![^{_GAP}])"
+#: Tokens of one number written with spaces, at most.
+PARTS = 8
+TOKEN = rf"(?<![^{_GAP}])(?:{_LOOSE}(?:(?<![.,;:!?])[\x20\x09]++{_LOOSE}){{0,{PARTS - 1}}}+|[^{_GAP}0-9@{COVER}]*+[0-9@{COVER}][^{_GAP}]*+)"
+#: What looks like a key or secret, and how sure that is.
+SECRET, PRIOR = r"^(?=(?:[^0-9]*[0-9]){4})(?=(?:[^A-Za-z]*[A-Za-z]){4})[A-Za-z0-9+=]{20,}$", 0.95
+SUPPORT, CONFIDENCE, DAMPING = 3, 0.7, 0.5
+#: Rounds after which scoring that has not settled is an error.
+MOST_ROUNDS = 50
 SALTS = 8
 SPANS = "array<struct<k:string,s:int,e:int>>"
+BLOCK, PIECE = 64, 1024
+
+
+def running(xs: Column, join) -> Column:
+    """Inclusive running combination of an array<int>, block by block."""
+    nothing = F.array().cast("array<int>")
+
+    def plain(ys: Column) -> Column:
+        return F.aggregate(ys, nothing, lambda acc, y: F.concat(acc, F.array(F.when(F.size(acc) == 0, y).otherwise(join(F.element_at(acc, -1), y)))))
+
+    def whole(ys: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(ys) - 1) / BLOCK).cast("int")), lambda k: plain(F.slice(ys, k * BLOCK + 1, F.lit(BLOCK))))
+
+        def together(bs: Column) -> Column:
+            upto = plain(F.transform(bs, lambda b: F.element_at(b, -1)))
+            return let(upto, lambda us: F.flatten(F.transform(bs, lambda b, k: F.when(k == 0, b).otherwise(F.transform(b, lambda x: join(F.get(us, k - 1), x))))))
+
+        return let(blocks, together)
+
+    return let(xs, lambda ys: F.when(F.size(ys) == 0, nothing).when(F.size(ys) <= BLOCK, plain(ys)).otherwise(whole(ys)))
+
+
+def in_pieces(text: Column, body) -> Column:
+    """``body`` of a function (start, end) that cuts from ``text``, its cost bounded by the cut's length."""
+
+    def bound(ps: Column) -> Column:
+        def cut(s: Column, e: Column) -> Column:
+            first = F.floor(s / PIECE).cast("int")
+            few = F.slice(ps, first + 1, F.floor((e - 1) / PIECE).cast("int") - first + 1)
+            return F.when(e <= s, F.lit("")).otherwise(F.substr(F.array_join(few, ""), s - first * PIECE + 1, e - s))
+
+        return body(cut)
+
+    return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), 0), bound)
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """array<struct<s, e, m, before>> of all matches of a pattern, in code points."""
+    """array<struct<s, e, m, before, after>> of all matches of a pattern, in code points."""
 
     def placed(ms: Column) -> Column:
         def walk(gaps: Column) -> Column:
-            ends = F.aggregate(
-                F.zip_with(ms, F.slice(gaps, 1, F.size(ms)), lambda m, g: F.struct(F.length(g).alias("g"), F.length(m).alias("n"))),
-                F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-                lambda acc, x: F.struct((acc["at"] + x["g"] + x["n"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"] + x["g"])).alias("starts")),
-                lambda acc: acc["starts"],
-            )
-            return let(ends, lambda at: F.transform(ms, lambda m, i: F.struct(F.get(at, i).alias("s"), (F.get(at, i) + F.length(m)).alias("e"), m.alias("m"), F.get(gaps, i).alias("before"))))
+            ends = running(F.transform(ms, lambda m, i: F.length(F.get(gaps, i)) + F.length(m)), lambda a, b: a + b)
+            return let(ends, lambda es: F.transform(ms, lambda m, i: F.struct((F.get(es, i) - F.length(m)).alias("s"), F.get(es, i).alias("e"), m.alias("m"), F.get(gaps, i).alias("before"), F.get(gaps, i + 1).alias("after"))))
 
         return let(F.split(text, pattern, -1), walk)
 
@@ -96,72 +141,104 @@ def _checked(text: Column, kind: str, pattern: str) -> Column:
     return F.transform(good, lambda x: F.struct(F.lit(kind).alias("k"), x["s"].alias("s"), x["e"].alias("e")))
 
 
+def _maximal(spans: Column) -> Column:
+    """array<struct<s, e, k>>: maximal runs of overlapping spans, in order, with the kind of their first."""
+    order = F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
+
+    def of(xs: Column) -> Column:
+        def heads(upto: Column) -> Column:
+            first = F.filter(F.sequence(F.lit(0), F.size(xs) - 1), lambda i: (i == 0) | (F.get(xs, i)["s"] >= F.get(upto, i - 1)))
+            return let(first, lambda hs: F.transform(hs, lambda h, j: F.struct(F.get(xs, h)["s"].alias("s"), F.get(upto, F.coalesce(F.get(hs, j + 1), F.size(xs)) - 1).alias("e"), F.get(xs, h)["k"].alias("k"))))
+
+        return let(running(F.transform(xs, lambda x: x["e"]), F.greatest), heads)
+
+    return let(order, of)
+
+
+def _rewritten(text: Column, spans: Column, write) -> Column:
+    """The text with ``write`` of each maximal run of spans in its place."""
+
+    def made(runs: Column) -> Column:
+        def joined(cut) -> Column:
+            parts = F.transform(runs, lambda r, i: F.concat(cut(F.coalesce(F.get(runs, i - 1)["e"], F.lit(0)), r["s"]), write(r)))
+            return F.concat(F.array_join(parts, ""), cut(F.element_at(runs, -1)["e"], F.length(text)))
+
+        return in_pieces(text, joined)
+
+    return F.when(F.size(spans) == 0, text).otherwise(let(_maximal(spans), made))
+
+
+INSTANCES = "array<struct<patterns:array<string>,token:string,s:int,e:int,seed:boolean,prior:double>>"
+
+
 def _instances(text: Column, spans: Column) -> Column:
-    """array<struct<pattern, token, s, e, seed>>: runs of tokens with a digit or at sign, and the two words before."""
+    """Runs of tokens with a digit or at sign, their patterns, and whether a base span is in them."""
+    covered = _rewritten(F.translate(text, COVER, COVERED), spans, lambda r: F.repeat(F.lit(COVER), r["e"] - r["s"]))
+    gap_words = lambda g: F.split(F.btrim(F.lower(g), F.lit(" \t\n\x0b\x0c\r")), WORD_GAP)
 
-    def of(x: Column) -> Column:
+    def of(x: Column, cut) -> Column:
         lead = F.length(F.regexp_extract(x["m"], r"^[\"'(\[{<]*", 0))
         tail = F.length(F.reverse(F.regexp_extract(F.reverse(x["m"]), r"^[\"')\]}>.,;:!?]*", 0)))
         s, e = x["s"] + lead, x["e"] - tail
-        before = F.btrim(x["before"], F.lit(" \t\n\x0b\x0c\r"))
-        context = F.when(before == "", F.lit("")).otherwise(F.lower(F.array_join(let(F.split(before, WORD_GAP), lambda ws: F.slice(ws, F.greatest(F.size(ws) - 1, F.lit(1)), F.lit(2))), " ")))
-        seed = F.exists(spans, lambda b: (b["s"] < e) & (b["e"] > s))
-        return F.struct(context.alias("pattern"), F.substr(x["m"], lead + 1, F.greatest(e - s, F.lit(0))).alias("token"), s.alias("s"), e.alias("e"), seed.alias("seed"))
+        seed = F.contains(x["m"], F.lit(COVER))
+        token = F.when(seed, cut(s, e)).otherwise(F.substr(x["m"], lead + 1, F.greatest(e - s, F.lit(0))))
+        before = F.substring_index(F.right(x["before"], F.lit(200)), "\n\n", -1)
 
-    return F.when(text.rlike("[0-9@]"), F.transform(_runs(text, spans), of)).otherwise(F.array().cast("array<struct<pattern:string,token:string,s:int,e:int,seed:boolean>>"))
+        def told(t: Column) -> Column:
+            classes = F.regexp_replace(F.regexp_replace(t, "[0-9]", "9"), r"\p{L}", "a")
+            shape = F.array_join(F.array_sort(F.array_distinct(F.split(classes, ""))), "")
 
+            def contexts(ws: Column) -> Column:
+                last = F.element_at(ws, -1)
+                next_ = F.element_at(gap_words(F.left(x["after"], F.lit(100))), 1)
+                two = F.when((F.size(ws) >= 2), F.concat(F.lit("2 "), F.get(ws, F.size(ws) - 2), F.lit(" "), last))
+                label = F.when(last.rlike("[:=#]$"), F.concat(F.lit("1 "), last, F.lit(" "), shape))
+                both = F.when((last != "") & (next_ != ""), F.concat(F.lit("3 "), last, F.lit(" _ "), next_, F.lit(" "), shape))
+                return F.array_compact(F.array(two, label, both))
 
-def _runs(text: Column, spans: Column) -> Column:
-    """Tokens, those of one identifier written with spaces joined: parts of one base span, or tokens with
-    digits outside any, with blanks alone between them and no punctuation that ends a phrase."""
+            prior = F.when(seed, 1.0).when(t.rlike(SECRET), PRIOR).otherwise(0.0)
+            return F.struct(let(gap_words(before), contexts).alias("patterns"), t.alias("token"), s.alias("s"), e.alias("e"), seed.alias("seed"), prior.alias("prior"))
 
-    def owner(x: Column) -> Column:
-        return F.coalesce(F.array_min(F.transform(F.filter(spans, lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"])), lambda b: b["s"])), F.lit(-1))
+        return let(token, told)
 
-    def starts_anew(ts: Column, i: Column) -> Column:
-        a, b = F.get(ts, i - 1), F.get(ts, i)
-        loose = ~F.contains(a["m"], F.lit("@")) & ~F.contains(b["m"], F.lit("@")) & ~a["m"].rlike("[.,;:!?]$")
-        return F.coalesce(~(b["before"].rlike(r"^[\x20\t]+$") & (a["own"] == b["own"]) & ((b["own"] >= 0) | loose)), F.lit(True))
-
-    def joined(ts: Column) -> Column:
-        heads = F.filter(ts, lambda x, i: x["anew"])
-        ends = F.transform(F.filter(ts, lambda x, i: F.coalesce(F.get(ts, i + 1)["anew"], F.lit(True))), lambda x: x["e"])
-        whole = lambda x, e: F.when(x["e"] == e, x["m"]).otherwise(F.substr(text, x["s"] + 1, e - x["s"]))
-        return F.zip_with(heads, ends, lambda x, e: F.struct(x["s"].alias("s"), e.alias("e"), whole(x, e).alias("m"), x["before"].alias("before")))
-
-    owned = F.transform(matches(text, TOKEN), lambda x: x.withField("own", owner(x)))
-    marked = let(owned, lambda ts: F.transform(ts, lambda x, i: x.withField("anew", starts_anew(ts, i))))
-    return let(marked, joined)
+    found = in_pieces(text, lambda cut: F.transform(matches(covered, TOKEN), lambda x: of(x, cut)))
+    return F.when(text.rlike("[0-9@]"), found).otherwise(F.array().cast(INSTANCES))
 
 
 def _like_identifier(token: Column) -> Column:
     return (F.length(token) >= 6) & ((F.length(_digits(token)) >= 3) | F.contains(token, F.lit("@")))
 
 
-def discover(read: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, rounds: int = ROUNDS) -> DataFrame:
+def discover(read: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """(doc_id, h, s, e) of identifiers that the patterns find beside the seeds; ``read`` has doc_id, h, instances."""
     spark = read.sparkSession
-    told = read.select("doc_id", "h", F.inline("instances")).filter("pattern <> '' and token <> ''")
-    graph = told.groupBy("pattern", "token").agg(F.max("seed").alias("seed")).filter(F.col("seed") | _like_identifier(F.col("token")))
+    each = read.select("doc_id", "h", F.inline("instances")).filter("token <> ''")
+    told = each.select("doc_id", "h", F.explode("patterns").alias("pattern"), "token", "s", "e", "seed", "prior")
+    graph = told.groupBy("pattern", "token").agg(F.max("prior").alias("prior"), F.max("seed").alias("seed")).filter((F.col("prior") > 0) | _like_identifier(F.col("token")))
     # A pattern with fewer tokens than the support can never be confident, in any round.
-    wide = graph.groupBy("pattern").agg(F.count("*").alias("n"), F.count_if("seed").alias("k")).filter((F.col("n") > F.col("k")) & (F.col("n") > support))
+    wide = graph.groupBy("pattern").agg(F.count("*").alias("n"), F.count_if("seed").alias("k")).filter((F.col("n") > F.col("k")) & (F.col("n") >= support))
     graph = materialize(_salted(graph, wide.select("pattern")), "pii-graph")
-    scores = graph.groupBy("token").agg(F.max("seed").cast("double").alias("score"))
-    scores = materialize(scores, "pii-scores")
-    for _ in range(rounds):
+    scores = materialize(graph.groupBy("token").agg(F.max("prior").alias("score")), "pii-scores")
+    if scores.isEmpty():
+        return spark.createDataFrame([], "doc_id long, h long, s int, e int")
+    known = None
+    for _ in range(MOST_ROUNDS):
         edges = graph.select("pattern", "token").join(scores, "token")
         patterns = edges.groupBy("pattern").agg((F.sum("score") / (F.count("*") + DAMPING)).alias("p"), F.count_if(F.col("score") >= confidence).alias("k"))
         patterns = patterns.filter((F.col("k") >= support) & (F.col("p") >= confidence)).select("pattern", "p")
+        patterns = materialize(patterns, "pii-patterns")
         doubt = _salted(graph.select("pattern", "token"), patterns).groupBy("token").agg(F.exp(F.sum(F.log(1 - F.least("p", F.lit(0.999))))).alias("doubt"))
-        joined = scores.join(doubt, "token", "left")
-        after = joined.select("token", F.greatest("score", F.coalesce(1 - F.col("doubt"), F.lit(0.0))).alias("score"))
+        after = scores.join(doubt, "token", "left").select("token", F.greatest("score", F.coalesce(1 - F.col("doubt"), F.lit(0.0))).alias("score"))
         scores = materialize(after, "pii-scores")
-    if scores.isEmpty():
-        return spark.createDataFrame([], "doc_id long, h long, s int, e int")
+        now = scores.agg(F.round(F.sum("score"), 6), F.count_if(F.col("score") >= confidence)).first()
+        if now == known:
+            break
+        known = now
+    else:
+        raise RuntimeError(f"pattern scores did not settle in {MOST_ROUNDS} rounds")
     # Confident pairs, not tokens alone: a token elsewhere, outside such a pattern, stays.
-    final = materialize(patterns, "pii-patterns")
-    unseen = told.filter(~F.col("seed") & _like_identifier(F.col("token")))
-    hits = _salted(unseen, final.select("pattern"))
+    unseen = told.filter(~F.col("seed") & ((F.col("prior") > 0) | _like_identifier(F.col("token"))))
+    hits = _salted(unseen, patterns.select("pattern"))
     return hits.select("doc_id", "h", "s", "e").distinct()
 
 
@@ -196,19 +273,7 @@ def spans_text(spans: Column) -> Column:
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with each maximal run of overlapping spans replaced by [KIND]."""
-    order = F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
-
-    def write(xs: Column) -> Column:
-        return F.aggregate(
-            xs,
-            F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-            lambda acc, x: F.when(x["s"] < acc["at"], F.struct(F.greatest(acc["at"], x["e"]).alias("at"), acc["out"].alias("out"))).otherwise(
-                F.struct(x["e"].alias("at"), F.concat(acc["out"], F.substr(text, acc["at"] + 1, x["s"] - acc["at"]), F.lit("["), F.upper(x["k"]), F.lit("]")).alias("out"))
-            ),
-            lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)),
-        )
-
-    return F.when(F.size(spans) == 0, text).otherwise(let(order, write))
+    return _rewritten(text, spans, lambda r: F.concat(F.lit("["), F.upper(r["k"]), F.lit("]")))
 
 
 def redact(docs: DataFrame) -> DataFrame:

@@ -152,18 +152,18 @@ def deduplicate(docs: DataFrame, **options) -> DataFrame:
 
 
 def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` with one row of each component of ``found`` (doc_id, h, component_id), all columns kept: the row whose
-    id names the component; of several rows of that id in it, the one with the least h, then the least columns.
-    Other rows of the id, in other components, stay.  Rows without an id stay, since nothing names them.
+    """``docs`` with one row of each component of ``found`` (doc_id, h, fp, component_id), all columns kept: the row whose
+    id names the component; of several rows of that id and fingerprint, the one with the least h, then the least
+    columns.  Rows of the id with another fingerprint stay.  Rows without an id stay, since nothing names them.
 
     Only ids and hashes are shuffled.  Rows to remove are broadcast up to BROADCAST_ROWS, beyond it they meet the
     documents in a sort-merge join."""
-    named = found.filter("doc_id is not null").select("doc_id", "h", "component_id")
-    own = named.filter("doc_id = component_id").groupBy("doc_id").agg(F.min("h").alias("first"), F.count("*").alias("k"))
+    named = found.filter("doc_id is not null").select("doc_id", "h", "fp", "component_id")
+    own = named.filter("doc_id = component_id").groupBy("doc_id", "fp").agg(F.min("h").alias("first"), F.count("*").alias("k"))
     losers = named.filter("doc_id <> component_id").select("doc_id", "h")
-    several = materialize(own.filter("k > 1").select("doc_id", "first"), "simhash-repeats")
+    several = materialize(own.filter("k > 1").select("doc_id", "fp", "first"), "simhash-repeats")
     if not several.isEmpty():
-        losers = losers.union(named.filter("doc_id = component_id").join(several, "doc_id").filter("h <> first").select("doc_id", "h"))
+        losers = losers.union(named.filter("doc_id = component_id").join(several, ["doc_id", "fp"]).filter("h <> first").select("doc_id", "h"))
     d, h, first = free_names(docs.columns, "_d", "_h", "_first")
     losers = materialize(losers.distinct().withColumnsRenamed({"doc_id": d, "h": h}), "simhash-losers")
     small = losers.count() <= BROADCAST_ROWS
