@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions import geometry, metrics
 from vellum.functions import text as tx
-from vellum.operators import align, compose, jobs, placement, routing
+from vellum.operators import align, compose, guards, jobs, placement
 from vellum.sources import formats
 from vellum.streaming import queue
 
@@ -55,16 +55,17 @@ def test_normalize_and_casefold(spark):
     assert one(spark, tx.safe_filename(F.lit("/tmp/.."))) == "upload.pdf"
 
 
-@pytest.mark.parametrize("text, detected, want", [("", 0, True), ("[Image content here]", 0, True), ("I'm unable to read this image.", 0, True), ("x", 500, True), ("word " * 90, 500, False), ("short but no OCR to beat", 0, False)])
+@pytest.mark.parametrize(
+    "text, detected, want",
+    [("", 0, True), (None, 0, True), ("  \n", 0, True), ("[IMAGE]", 0, True), ("Alas, I cannot tell.", 0, True), ("As an AI, no.", 0, True), ("ab", 400, True), ("ab", 70, False), ("river " * 90, 500, True), (" ".join(f"stone{k}" for k in range(90)), 500, False), ("a quiet line", 0, False), ("I cannot " + " ".join(f"say{k}" for k in range(60)), 0, False)],
+)
 def test_refusal(spark, text, detected, want):
-    assert one(spark, tx.refusal(F.lit(text), F.lit(detected))) is want
+    assert one(spark, guards.refused(F.lit(text).cast("string"), F.lit(detected))) is want
 
 
-def test_degenerate(spark):
-    varied = " ".join(f"w{i}" for i in range(300))
-    rows = [(0, "[illegible] " * 200), (1, "." * 5000), (2, ". " * 500), (3, varied), (4, "Total: $9.00"), (5, "")]
-    out = routing.degenerate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.doc_id for r in out if r.by_char or r.by_word} == {0, 1, 2} and len(out) == 6
+@pytest.mark.parametrize("text, want", [("(blur) " * 90, True), ("~" * 3000, True), ("= " * 300, True), (" ".join(f"reed{k}" for k in range(250)), False), ("Sum: 4.20", False), ("", False), ("abc" * 70, True)])
+def test_degenerate(spark, text, want):
+    assert one(spark, guards.degenerate(F.lit(text))) is want
 
 
 @pytest.mark.parametrize("other, share", [((0, 0, 100, 100), 1.0), ((200, 200, 300, 300), 0.0), ((50, 0, 150, 100), 0.5), ((0, 0, 50, 50), 1.0)])

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
+from collections import Counter
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +16,10 @@ from .text import tokens
 
 
 def bag_overlap(pairs: DataFrame, key: list[str], ref: str, hyp: str) -> DataFrame:
-    """Per key the size of the multiset intersection of two token columns, and both sizes."""
-    said = pairs.select(*key, F.explode(F.concat(F.transform(tokens(F.col(ref)), lambda w: F.struct(w.alias("w"), F.lit(1).alias("r"), F.lit(0).alias("h"))), F.transform(tokens(F.col(hyp)), lambda w: F.struct(w.alias("w"), F.lit(0).alias("r"), F.lit(1).alias("h"))))).alias("x"))
+    """Per key the size of the multiset intersection of two token columns, and both sizes; 0 without tokens."""
+    none = F.array(F.struct(F.lit(None).cast("string").alias("w"), F.lit(0).alias("r"), F.lit(0).alias("h")))
+    both = [F.coalesce(F.col(x), F.lit("")) for x in (ref, hyp)]
+    said = pairs.select(*key, F.explode(F.concat(none, F.transform(tokens(both[0]), lambda w: F.struct(w.alias("w"), F.lit(1).alias("r"), F.lit(0).alias("h"))), F.transform(tokens(both[1]), lambda w: F.struct(w.alias("w"), F.lit(0).alias("r"), F.lit(1).alias("h"))))).alias("x"))
     counted = said.groupBy(*key, "x.w").agg(F.sum("x.r").alias("r"), F.sum("x.h").alias("h"))
     return counted.groupBy(*key).agg(F.sum(F.least("r", "h")).alias("overlap"), F.sum("r").alias("ref_words"), F.sum("h").alias("hyp_words"))
 
@@ -25,7 +32,7 @@ def safe_ratio(a: Column, b: Column) -> Column:
 def micro(overlap: str = "overlap", ref: str = "ref_words", hyp: str = "hyp_words", errors: str = "char_errors", chars: str = "ref_chars") -> list[Column]:
     return [
         F.count("*").alias("pages"),
-        safe_ratio(F.sum(overlap), F.sum(ref)).alias("word_recall"),
+        safe_ratio(F.sum(overlap), F.sum(F.greatest(F.col(ref), F.lit(1)))).alias("word_recall"),
         safe_ratio(F.sum(overlap), F.sum(F.greatest(F.col(hyp), F.lit(1)))).alias("word_precision"),
         safe_ratio(F.sum(errors), F.sum(F.greatest(F.col(chars), F.lit(1)))).alias("cer"),
     ]
@@ -86,3 +93,82 @@ def edit_ops(ref: list, hyp: list) -> tuple[int, int, int]:
         else:
             ins, j = ins + 1, j - 1
     return s, d, ins
+
+
+def edit_counts(ref: str | list, hyp: str | list) -> tuple[int, int, int]:
+    """As ``edit_ops`` of long sequences: the table is kept as bits, one for each choice on the way back."""
+    codes: dict = {}
+    a = np.array([codes.setdefault(x, len(codes)) for x in ref], np.int64)
+    b = np.array([codes.setdefault(x, len(codes)) for x in hyp], np.int64)
+    tail = 0  # an equal end is matched first in any case
+    while tail < min(len(a), len(b)) and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    if not len(a) or not len(b):
+        return 0, len(a), len(b)
+    at = np.arange(len(b) + 1, dtype=np.int32)
+    row, pairs, ups = at.copy(), [], []
+    for x in a:
+        pair = row[:-1] + (b != x)
+        now = row + 1
+        np.minimum(now[1:], pair, out=now[1:])
+        now -= at
+        np.minimum.accumulate(now, out=now)
+        now += at
+        pairs.append(np.packbits(now[1:] == pair))
+        ups.append(np.packbits(now == row + 1))
+        row = now
+    i, j, s, d, ins = len(a), len(b), 0, 0, 0
+    bit = lambda packed, k: packed[k >> 3] >> (7 - (k & 7)) & 1
+    while i or j:
+        if i and j and bit(pairs[i - 1], j - 1):
+            i, j = i - 1, j - 1
+            s += int(a[i] != b[j])
+        elif i and (not j or bit(ups[i - 1], j)):
+            d, i = d + 1, i - 1
+        else:
+            ins, j = ins + 1, j - 1
+    return s, d, ins
+
+
+SCORE = "cer double, wer double, insertion_rate double, ref_chars long, char_errors long, char_ins long, ref_words long, word_errors long, word_overlap long, hyp_words long, word_recall double, word_precision double"
+_TOKEN = re.compile("[\u3040-\u30FF\uFF66-\uFF9F\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uAC00-\uD7AF]|[^\\s\u3040-\u30FF\uFF66-\uFF9F\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uAC00-\uD7AF]+")
+
+
+def score(ref: str | None, hyp: str | None, caseless: bool = False) -> dict:
+    """Rates and raw counts of one reading against its reference, both normalised."""
+    sides = []
+    for text in (ref or "", hyp or ""):
+        text = text.casefold() if caseless else text
+        sides.append(" ".join(unicodedata.normalize("NFC", text).split()))
+    words = [_TOKEN.findall(x) for x in sides]
+    chars, said = edit_counts(*sides), edit_counts(*words)
+    n, m, h = max(len(sides[0]), 1), max(len(words[0]), 1), max(len(words[1]), 1)
+    common = (Counter(words[0]) & Counter(words[1])).total()
+    return {
+        "cer": sum(chars) / n, "wer": sum(said) / m, "insertion_rate": chars[2] / n, "ref_chars": n, "char_errors": sum(chars), "char_ins": chars[2],
+        "ref_words": m, "word_errors": sum(said), "word_overlap": common, "hyp_words": h, "word_recall": common / m, "word_precision": common / h,
+    }
+
+
+def pair_scores(pairs: DataFrame, ref: str, hyp: str, caseless: bool = False) -> DataFrame:
+    """All other columns of ``pairs`` and the scores of each pair, nulls being empty.  Pairs are spread over all tasks,
+    as their cost is in time, not in bytes."""
+    spark = pairs.sparkSession
+    keep = [c for c in pairs.columns if c not in (ref, hyp)]
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+    @F.pandas_udf(SCORE)
+    def scored(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([score(x, y, caseless) for x, y in zip(a, b)], columns=[c.split()[0] for c in SCORE.split(", ")])
+
+    return pairs.repartition(tasks).select(*keep, scored(ref, hyp).alias("s")).select(*keep, "s.*")
+
+
+def scorecard(scored: DataFrame, by: str) -> DataFrame:
+    """Micro-averages of each group and of all rows: total errors over total length."""
+    over = lambda a, b: safe_ratio(F.sum(a), F.sum(b))
+    return scored.rollup(by).agg(
+        F.count("*").alias("pages"), over("char_errors", "ref_chars").alias("cer"), over("word_errors", "ref_words").alias("wer"), over("char_ins", "ref_chars").alias("insertion_rate"),
+        over("word_overlap", "ref_words").alias("word_recall"), over("word_overlap", "hyp_words").alias("word_precision"), F.sum("ref_chars").alias("ref_chars"),
+    )

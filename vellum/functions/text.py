@@ -1,4 +1,8 @@
-"""Text scalars as Column expressions."""
+"""Text scalars as Column expressions.
+
+Cases: null in, null out, but for ``script`` (latin) and ``safe_filename`` (the default name); an empty text has no
+tokens, no lines and no private characters and is clean.
+"""
 
 from __future__ import annotations
 
@@ -18,7 +22,7 @@ SCRIPTS = {
     "cyrillic": r"\x{0400}-\x{04FF}",
     "arabic": r"\x{0600}-\x{06FF}",
     "devanagari": r"\x{0900}-\x{097F}",
-    "cjk": r"\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{AC00}-\x{D7AF}",
+    "cjk": r"\x{3040}-\x{30FF}\x{4E00}-\x{9FFF}\x{AC00}-\x{D7AF}",
 }
 CONFUSED = ("oil", "01l")
 
@@ -74,17 +78,17 @@ def tokens(s: Column) -> Column:
 
 def script(s: Column, least: float = 0.10) -> Column:
     """The strongest non-Latin script with at least ``least`` of the letters counted, else latin; ties go to the
-    script listed first."""
-    counts = {k: count_in(s, r) for k, r in SCRIPTS.items()}
+    script seen first in the text."""
     latin = F.length(F.regexp_replace(s, r"[^A-Za-z\x{00C0}-\x{024F}]", ""))
-    total = latin
-    for c in counts.values():
-        total = total + c
-    best = F.greatest(*counts.values())
-    name = F.lit("latin")
-    for k, c in reversed(counts.items()):
-        name = F.when(c == best, F.lit(k)).otherwise(name)
-    return F.when((best > 0) & (best >= least * total), name).otherwise(F.lit("latin"))
+    # Most letters first, then the earliest place.
+    told = [F.struct((-count_in(s, r)).alias("n"), F.length(F.regexp_extract(s, f"^[^{r}]*", 0)).alias("at"), F.lit(k).alias("name")) for k, r in SCRIPTS.items()]
+
+    def best(xs: Column) -> Column:
+        top = F.get(F.array_sort(xs), F.lit(0))
+        total = F.aggregate(xs, F.lit(0), lambda acc, x: acc - x["n"]) + latin
+        return F.when((top["n"] < 0) & (-top["n"] >= least * total), top["name"]).otherwise(F.lit("latin"))
+
+    return F.coalesce(F.element_at(F.transform(F.array(F.array(*told)), best), 1), F.lit("latin"))
 
 
 def escape_html(s: Column) -> Column:
@@ -120,12 +124,3 @@ def fill_cells(html: Column, cells: Column) -> Column:
 
     return F.concat(F.array_join(F.transform(tags, filled), ""), F.element_at(parts, -1))
 
-
-def refusal(s: Column, detected: Column) -> Column:
-    markers = ("[image content here]", "unable to read", "cannot read", "can't read")
-    low = F.lower(s)
-    said = F.lit(False)
-    for m in markers:
-        said = said | F.contains(low, F.lit(m))
-    short = (detected >= 80) & (F.length(s) < 0.25 * detected)
-    return (F.trim(s) == "") | ((F.length(s) < 200) & said) | short

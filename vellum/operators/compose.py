@@ -1,6 +1,9 @@
 """Page composition: which reading of a place survives, and in what order it is read.
 
 Every spatial join meets on (doc_id, page) first and keeps the overlap test as a residual.
+
+Cases: boxes without area overlap nothing; rows with a null box or key meet nothing and stay as they are; equal
+overlaps go to the first region or table; repeated rows are segments of their own; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -46,6 +49,19 @@ def region_coverage(regions: DataFrame, layer: DataFrame) -> DataFrame:
     return met.select(*PAGE, "rix", "kind", share.alias("coverage"), F.when(share >= 0.5, "textlayer").otherwise("ocr").alias("region_source"))
 
 
+def composed(detected: DataFrame, layer: DataFrame, regions: DataFrame, machine: float = 0.5) -> DataFrame:
+    """``detected`` with ``superseded``: a clean text-layer segment covers it, or it is centred in a region of which
+    clean text covers ``machine`` or more.  Nothing is dropped; segments without a page in ``regions`` are judged by
+    overlap alone."""
+    covered = superseded(detected, layer).select(*PAGE, "ix")
+    share = region_coverage(regions, layer).filter(F.col("coverage") >= machine).select(*PAGE, "rix")
+    exact = _renamed(regions.join(share, [*PAGE, "rix"], "left_semi"), "r_")
+    inside = g.contains_center(g.box("r_"), g.box())
+    held = detected.join(exact, [detected["doc_id"] == exact["doc_id"], detected["pg"] == exact["pg"], inside], "left_semi").select(*PAGE, "ix")
+    marked = covered.union(held).distinct().withColumn("superseded", F.lit(True))
+    return detected.join(marked, [*PAGE, "ix"], "left").withColumn("superseded", F.coalesce("superseded", F.lit(False)))
+
+
 def first_region(segments: DataFrame, regions: DataFrame) -> DataFrame:
     """Each segment with the first region, by position, that holds its centre; -1 if none does."""
     r = _renamed(regions, "r_", "rix")
@@ -83,9 +99,10 @@ def cell_confidence(cells: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def best_table(regions: DataFrame, tables: DataFrame, least: float = 0.30) -> DataFrame:
-    """For each region the found table with the largest overlap fraction above ``least``, the first of equals."""
-    t = _renamed(tables, "t_", "tix")
+    """For each region the found table with the largest overlap fraction above ``least``, the first of equals, if its
+    markup (column ``html``) has a cell at all."""
+    t = _renamed(tables, "t_", "tix", "html")
     share = g.overlap_fraction(g.box(), g.box("t_"))
     met = regions.join(t, PAGE).withColumn("share", share).filter(F.col("share") > least)
     rank = F.row_number().over(Window.partitionBy(*PAGE, "rix").orderBy(F.desc("share"), "t_tix"))
-    return met.withColumn("n", rank).filter("n = 1").select(*PAGE, "rix", F.col("t_tix").alias("tix"), "share")
+    return met.withColumn("n", rank).filter("n = 1 and contains(t_html, '<td')").select(*PAGE, "rix", F.col("t_tix").alias("tix"), "share")

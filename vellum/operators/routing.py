@@ -1,49 +1,49 @@
-"""Script routing and reader guards."""
+"""Script routing: which recogniser, reader and engine a page gets.
+
+Cases: an unknown or null script takes latin's route; an override's null column changes nothing; of several overrides
+of one script the caller must choose.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import non_space, tokens
-
-ROUTES = [("latin", "en", "general", "paddle"), ("cyrillic", "ru", "general", "paddle"), ("arabic", "ar", "general", "vision"), ("devanagari", "hi", "general", "vision"), ("thai", "th", "specialist", "vision"), ("cjk", "zh", "general", "paddle")]
+# Script, language of the recogniser, special reader, its address, engine.
+ROUTES = [
+    ("latin", "en", None, None, "paddle"),
+    ("thai", "th", "mlx-community/typhoon-ocr1.5-2b-8bit", None, "paddle"),
+    ("cyrillic", "cyrillic", None, None, "paddle"),
+    ("arabic", "arabic", None, None, "paddle"),
+    ("cjk", "ch", None, None, "paddle"),
+    ("devanagari", "devanagari", None, None, "paddle"),
+]
+COLUMNS = ("ocr_lang", "reader", "base_url", "engine")
+#: Rows of an override table that may be broadcast.
+MOST = 10_000
 
 
 def routes(spark: SparkSession) -> DataFrame:
     """The dimension of routes: six rows."""
-    return spark.createDataFrame(ROUTES, "script string, ocr_lang string, reader string, engine string")
+    return spark.createDataFrame(ROUTES, "script string, ocr_lang string, reader string, base_url string, engine string")
 
 
 def resolve(scripts: DataFrame, table: DataFrame, override: DataFrame | None = None) -> DataFrame:
     """Left join to the routes; an unknown script takes latin's, an override wins column by column."""
-    latin = table.filter("script = 'latin'").select(*(F.col(c).alias(f"d_{c}") for c in ("ocr_lang", "reader", "engine")))
-    met = scripts.join(F.broadcast(table), "script", "left").crossJoin(F.broadcast(latin))
-    cols = {c: F.coalesce(F.col(c), F.col(f"d_{c}")) for c in ("ocr_lang", "reader", "engine")}
-    met = met.select(*scripts.columns, *(v.alias(c) for c, v in cols.items()))
+    known = table.select("script", F.struct(*COLUMNS).alias("own"))
+    latin = table.filter("script = 'latin'").select(F.struct(*COLUMNS).alias("base"))
+    met = scripts.join(F.broadcast(known), "script", "left").crossJoin(F.broadcast(latin)).withColumn("own", F.coalesce("own", "base"))
     if override is None:
-        return met
-    o = override.select("script", *(F.col(c).alias(f"o_{c}") for c in cols))
-    met = met.join(F.broadcast(o), "script", "left")
-    return met.select(*scripts.columns, *(F.coalesce(f"o_{c}", c).alias(c) for c in cols))
-
-
-def degenerate(readings: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, by_char, by_word): runaway repetition, counted by grouped characters and words."""
-    solid = F.regexp_replace(F.col(text), r"(?U)\s", "")
-    chars = readings.select(key, F.explode(F.split(solid, "")).alias("c")).filter("c <> ''").groupBy(key, "c").count()
-    words = readings.select(key, F.explode(tokens(F.col(text))).alias("w")).groupBy(key, "w").count()
-    tally = lambda d: d.groupBy(key).agg(F.sum("count").alias("n"), F.max("count").alias("most"), F.count("*").alias("kinds"))
-    c = tally(chars).select(key, ((F.col("n") >= 200) & ((F.col("most") >= 0.9 * F.col("n")) | (F.col("kinds") <= 3))).alias("by_char"))
-    w = tally(words).select(key, ((F.col("n") >= 40) & ((F.col("most") >= 0.4 * F.col("n")) | (F.col("kinds") < 0.1 * F.col("n")))).alias("by_word"))
-    met = readings.select(key).join(c, key, "left").join(w, key, "left")
-    return met.select(key, F.coalesce("by_char", F.lit(False)).alias("by_char"), F.coalesce("by_word", F.lit(False)).alias("by_word"))
-
-
-def needs_ocr(pages: DataFrame, pua: str = "pua", solid: str = "non_space") -> DataFrame:
-    """Pages without solid text, or with too large a private-use share."""
-    return pages.withColumn("needs_ocr", (F.col(solid) == 0) | (F.col(pua) > 0.01 * F.col(solid)))
-
-
-def solid_length(text: str):
-    return non_space(F.col(text))
+        return met.select(*scripts.columns, "own.*")
+    given = override.select("script", F.struct(*(F.col(c) if c in override.columns else F.lit(None).cast("string").alias(c) for c in COLUMNS)).alias("given"))
+    met = met.join(F.broadcast(given) if override.count() <= MOST else given, "script", "left")
+    return met.select(*scripts.columns, *(F.coalesce(f"given.{c}", f"own.{c}").alias(c) for c in COLUMNS))
+
+
+def auto_engine(script: Column, preferred: list[tuple[str, list[str], bool]]) -> Column:
+    """The first preferred engine (name, its scripts, whether it is available) that reads the script, else null."""
+    out = F.lit(None).cast("string")
+    for name, scripts, available in reversed(preferred):
+        if available:
+            out = F.when(script.isin(scripts), name).otherwise(out)
+    return out

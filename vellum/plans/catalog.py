@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry, metrics
 from ..functions import text as tx
-from ..operators import align, compose, experiments, jobs, placement, routing
+from ..operators import align, compose, experiments, guards, jobs, placement, routing
 from ..sources import formats
 from ..streaming import queue
 from . import corpus as c
@@ -84,15 +84,16 @@ def clean_lines(spark: SparkSession, d: str) -> DataFrame:
 @query(c.with_sql("dirty") + f"SELECT source, count(*) FILTER (pua > 0.01 * solid OR solid = 0) AS needs_ocr, count(*) AS pages FROM (SELECT source, length(regexp_replace(text, '{PUA_RE}', '', 'g')) AS pua, {_SOLID} AS solid FROM dirty) GROUP BY source")
 def needs_ocr_pages(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("text")
-    pages = c.dirty(spark, d).select("source", tx.private_use(t).alias("pua"), tx.non_space(t).alias("non_space"))
-    return routing.needs_ocr(pages).groupBy("source").agg(F.count_if("needs_ocr").alias("needs_ocr"), F.count("*").alias("pages"))
+    need = guards.needs_ocr(tx.non_space(t), tx.private_use(t), F.lit(1.0), F.lit(1.0), F.lit(0.0))
+    return c.dirty(spark, d).select("source", need.alias("needs_ocr")).groupBy("source").agg(F.count_if("needs_ocr").alias("needs_ocr"), F.count("*").alias("pages"))
 
 
-_RANGES = {"thai": "฀-๿", "cyrillic": "Ѐ-ӿ", "arabic": "؀-ۿ", "devanagari": "ऀ-ॿ", "cjk": "぀-ヿ㐀-䶿一-鿿가-힯"}
+_RANGES = {"thai": "฀-๿", "cyrillic": "Ѐ-ӿ", "arabic": "؀-ۿ", "devanagari": "ऀ-ॿ", "cjk": "぀-ヿ一-鿿가-힯"}
 _SC = ", ".join(f"length(regexp_replace(text, '[^{r}]', '', 'g')) AS {k}" for k, r in _RANGES.items()) + ", length(regexp_replace(text, '[^A-Za-zÀ-ɏ]', '', 'g')) AS latin"
 _BEST = "greatest(" + ", ".join(_RANGES) + ")"
-_SCRIPT_SQL = f"CASE WHEN {_BEST} > 0 AND {_BEST} >= 0.10 * (latin + {' + '.join(_RANGES)}) THEN CASE " + " ".join(f"WHEN {k} = {_BEST} THEN '{k}'" for k in _RANGES) + " END ELSE 'latin' END"
-_SCRIPTED = c.with_sql("dirty") + f", s AS (SELECT doc_id, lang, {_SC} FROM dirty), scripted AS (SELECT doc_id, lang, {_SCRIPT_SQL} AS script FROM s) "
+_FIRST_SEEN = "(list_sort([" + ", ".join(f"{{'n': -{k}, 'at': length(regexp_extract(text, '^[^{r}]*')), 'name': '{k}'}}" for k, r in _RANGES.items()) + "])[1]).name"
+_SCRIPT_SQL = f"CASE WHEN {_BEST} > 0 AND {_BEST} >= 0.10 * (latin + {' + '.join(_RANGES)}) THEN {_FIRST_SEEN} ELSE 'latin' END"
+_SCRIPTED = c.with_sql("dirty") + f", s AS (SELECT doc_id, lang, text, {_SC} FROM dirty), scripted AS (SELECT doc_id, lang, {_SCRIPT_SQL} AS script FROM s) "
 
 
 def _scripted(spark: SparkSession, d: str) -> DataFrame:
@@ -109,13 +110,22 @@ def script_counts(spark: SparkSession, d: str) -> DataFrame:
     return _scripted(spark, d).groupBy("lang", "script").agg(F.count("*").alias("n"))
 
 
-@query(_SCRIPTED + ", r AS (SELECT * FROM (VALUES " + ", ".join(map(str, routing.ROUTES)) + ") t(script, ocr_lang, reader, engine)) SELECT reader, engine, ocr_lang, count(*) AS n FROM (SELECT coalesce(r.ocr_lang, 'en') AS ocr_lang, CASE WHEN s.script = 'arabic' THEN 'specialist' ELSE coalesce(r.reader, 'general') END AS reader, coalesce(r.engine, 'paddle') AS engine FROM scripted s LEFT JOIN r ON s.script = r.script) GROUP BY ALL")
+_ROUTE_SQL = ", ".join("(" + ", ".join("NULL" if x is None else f"'{x}'" for x in r) + ")" for r in routing.ROUTES)
+
+
+@query(_SCRIPTED + f", r AS (SELECT * FROM (VALUES {_ROUTE_SQL}) t(script, ocr_lang, reader, base_url, engine)) SELECT reader, engine, ocr_lang, count(*) AS n FROM (SELECT coalesce(r.ocr_lang, 'en') AS ocr_lang, CASE WHEN s.script = 'arabic' THEN 'special' ELSE r.reader END AS reader, coalesce(r.engine, 'paddle') AS engine FROM scripted s LEFT JOIN r ON s.script = r.script) GROUP BY ALL")
 def route_resolution(spark: SparkSession, d: str) -> DataFrame:
-    override = spark.createDataFrame([("arabic", None, "specialist", None)], "script string, ocr_lang string, reader string, engine string")
+    override = spark.createDataFrame([("arabic", "special")], "script string, reader string")
     met = routing.resolve(_scripted(spark, d), routing.routes(spark), override)
     return met.groupBy("reader", "engine", "ocr_lang").agg(F.count("*").alias("n"))
 
 
+@query(_SCRIPTED + "SELECT script, CASE WHEN script IN ('latin', 'cjk') THEN 'rapidocr' WHEN script = 'thai' THEN 'apple_vision' END AS engine, count(*) AS n FROM scripted GROUP BY ALL")
+def engine_choice(spark: SparkSession, d: str) -> DataFrame:
+    pick = routing.auto_engine(F.col("script"), [("rapidocr", ["latin", "cjk"], True), ("apple_vision", ["latin", "thai"], True), ("other", ["arabic"], False)])
+    return _scripted(spark, d).select("script", pick.alias("engine")).groupBy("script", "engine").agg(F.count("*").alias("n"))
+
+
 # --- tokens and scores
 
 _CJK = "぀-ヿｦ-ﾟ㐀-䶿一-鿿豈-﫿가-힯"
@@ -133,7 +143,8 @@ def _overlaps(spark: SparkSession, d: str) -> DataFrame:
 
 
 _OVER = f"""tok AS (SELECT doc_id, lang, source, unnest({_TOK.format('text')}) AS w, 1 AS r, 0 AS h FROM documents
-  UNION ALL SELECT doc_id, lang, source, unnest({_TOK.format("translate(text, 'oil', '01l')")}), 0, 1 FROM documents),
+  UNION ALL SELECT doc_id, lang, source, unnest({_TOK.format("translate(text, 'oil', '01l')")}), 0, 1 FROM documents
+  UNION ALL SELECT doc_id, lang, source, NULL, 0, 0 FROM documents),
 cnt AS (SELECT doc_id, lang, source, w, sum(r) AS r, sum(h) AS h FROM tok GROUP BY ALL),
 over AS (SELECT doc_id, lang, source, sum(least(r, h))::BIGINT AS overlap, sum(r)::BIGINT AS ref_words, sum(h)::BIGINT AS hyp_words FROM cnt GROUP BY ALL)"""
 
@@ -163,12 +174,27 @@ def char_distance_lines(spark: SparkSession, d: str) -> DataFrame:
     return _char_errors(spark, d)
 
 
-_MICRO = "count(*) AS pages, sum(overlap)::DOUBLE / greatest(sum(ref_words), 1)::DOUBLE AS word_recall, sum(overlap)::DOUBLE / greatest(sum(greatest(hyp_words, 1)), 1)::DOUBLE AS word_precision, sum(char_errors)::DOUBLE / greatest(sum(greatest(ref_chars, 1)), 1)::DOUBLE AS cer"
-_SCORED = f"WITH {_OVER}, {_ERR}, scored AS (SELECT over.*, char_errors, ref_chars FROM over JOIN err USING (doc_id)) "
+_MICRO = "count(*) AS pages, sum(overlap)::DOUBLE / greatest(sum(greatest(ref_words, 1)), 1)::DOUBLE AS word_recall, sum(overlap)::DOUBLE / greatest(sum(greatest(hyp_words, 1)), 1)::DOUBLE AS word_precision, sum(char_errors)::DOUBLE / greatest(sum(greatest(ref_chars, 1)), 1)::DOUBLE AS cer"
+_PAGE_NORM = r"trim(regexp_replace(nfc_normalize({}), '\s+', ' ', 'g'))"
+_SCORED = c.with_sql("lines") + f""", pt AS (SELECT doc_id, ((ix - ix % 40) // 40)::INT AS pg, string_agg(t, chr(10) ORDER BY ix) AS ref FROM lines GROUP BY ALL),
+pp AS (SELECT d.doc_id, coalesce(pg, 0) AS pg, lang, source, {_PAGE_NORM.format("coalesce(ref, '')")} AS ref FROM documents d LEFT JOIN pt USING (doc_id)),
+ph AS (SELECT *, translate(ref, 'oil', '01l') AS hyp FROM pp),
+tok AS (SELECT doc_id, pg, unnest({_TOK.format('ref')}) AS w, 1 AS r, 0 AS h FROM ph UNION ALL SELECT doc_id, pg, unnest({_TOK.format('hyp')}), 0, 1 FROM ph UNION ALL SELECT doc_id, pg, NULL, 0, 0 FROM ph),
+cnt AS (SELECT doc_id, pg, w, sum(r) AS r, sum(h) AS h FROM tok GROUP BY ALL),
+over AS (SELECT doc_id, pg, sum(least(r, h)) AS overlap, sum(r) AS ref_words, sum(h) AS hyp_words FROM cnt GROUP BY ALL),
+scored AS (SELECT ph.lang, ph.source, over.*, levenshtein(ref, hyp) AS char_errors, length(ref) AS ref_chars FROM ph JOIN over ON over.doc_id = ph.doc_id AND over.pg = ph.pg) """
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
-    return _overlaps(spark, d).join(_char_errors(spark, d), "doc_id")
+    """Raw counts of every page, normalised; a document without lines is one blank page."""
+    cut = c.lines(spark, d).select("doc_id", "ix", "t", ((F.col("ix") - F.col("ix") % 40) / 40).cast("int").alias("pg"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ix", "t"))), lambda x: x["t"]), "\n")
+    pages = cut.groupBy("doc_id", "pg").agg(text.alias("ref"))
+    told = docs(spark, d).select("doc_id", "lang", "source").join(pages, "doc_id", "left")
+    told = told.select("doc_id", F.coalesce("pg", F.lit(0)).alias("pg"), "lang", "source", tx.normalize(F.coalesce("ref", F.lit(""))).alias("ref")).withColumn("hyp", c.confused("ref"))
+    over = metrics.bag_overlap(told, ["doc_id", "pg"], "ref", "hyp")
+    errors = told.select("doc_id", "pg", "lang", "source", metrics.distance(F.col("ref"), F.col("hyp")).alias("char_errors"), F.length("ref").cast("long").alias("ref_chars"))
+    return errors.join(over, ["doc_id", "pg"])
 
 
 @query(_SCORED + f"SELECT lang, {_MICRO} FROM scored GROUP BY ROLLUP (lang)")
@@ -204,12 +230,7 @@ w AS (SELECT doc_id, w, count(*) AS k FROM (SELECT doc_id, unnest(regexp_extract
 w2 AS (SELECT doc_id, sum(k) >= 40 AND (max(k) >= 0.4 * sum(k) OR count(*) < 0.1 * sum(k)) AS by_word FROM w GROUP BY 1)
 SELECT doc_id, coalesce(by_char, false) AS by_char, coalesce(by_word, false) AS by_word FROM documents LEFT JOIN c2 USING (doc_id) LEFT JOIN w2 USING (doc_id)""")
 def degenerate_repetition(spark: SparkSession, d: str) -> DataFrame:
-    return routing.degenerate(docs(spark, d).select("doc_id", "text"))
-
-
-@query("SELECT doc_id, trim(text) = '' OR (length(text) < 200 AND (contains(lower(text), '[image content here]') OR contains(lower(text), 'unable to read') OR contains(lower(text), 'cannot read') OR contains(lower(text), 'can''t read'))) OR (doc_id % 50 * 100 >= 80 AND length(text) < 0.25 * (doc_id % 50 * 100)) AS refused FROM documents")
-def refusal_flags(spark: SparkSession, d: str) -> DataFrame:
-    return docs(spark, d).select("doc_id", tx.refusal(F.col("text"), F.col("doc_id") % 50 * 100).alias("refused"))
+    return docs(spark, d).select("doc_id", guards.flooded(F.col("text")).alias("by_char"), guards.looping(F.col("text")).alias("by_word"))
 
 
 @query("SELECT doc_id, replace(replace(replace(replace(lower(text), 'ß', 'ss'), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS folded FROM documents")
@@ -278,11 +299,11 @@ def cell_confidence(spark: SparkSession, d: str) -> DataFrame:
 _TABLES = ", t AS (SELECT doc_id, pg, rix AS tix, x0 + (doc_id % 5) * 30 AS x0, y0 + (rix % 3) * 25 AS y0, x1 + (doc_id % 5) * 30 AS x1, y1 + (rix % 3) * 25 AS y1 FROM regions)"
 
 
-@query(c.with_sql("lines", "regions") + _TABLES + ", f AS (SELECT r.doc_id, r.pg, r.rix, t.tix, (greatest(0.0, least(r.x1, t.x1) - greatest(r.x0, t.x0)) * greatest(0.0, least(r.y1, t.y1) - greatest(r.y0, t.y0)) / greatest(least((r.x1 - r.x0) * (r.y1 - r.y0), (t.x1 - t.x0) * (t.y1 - t.y0)), 1.0))::DOUBLE AS share FROM regions r JOIN t ON r.doc_id = t.doc_id AND r.pg = t.pg) SELECT * FROM f WHERE share > 0.3 QUALIFY row_number() OVER (PARTITION BY doc_id, pg, rix ORDER BY share DESC, tix) = 1")
+@query(c.with_sql("lines", "regions") + _TABLES + ", f AS (SELECT r.doc_id, r.pg, r.rix, t.tix, (greatest(0.0, least(r.x1, t.x1) - greatest(r.x0, t.x0)) * greatest(0.0, least(r.y1, t.y1) - greatest(r.y0, t.y0)) / greatest(least((r.x1 - r.x0) * (r.y1 - r.y0), (t.x1 - t.x0) * (t.y1 - t.y0)), 1.0))::DOUBLE AS share FROM regions r JOIN t ON r.doc_id = t.doc_id AND r.pg = t.pg) SELECT * FROM (SELECT * FROM f WHERE share > 0.3 QUALIFY row_number() OVER (PARTITION BY doc_id, pg, rix ORDER BY share DESC, tix) = 1) WHERE tix % 3 <> 1")
 def best_table_argmax(spark: SparkSession, d: str) -> DataFrame:
     r = c.regions(spark, d)
     dx, dy = (F.col("doc_id") % 5) * 30, (F.col("rix") % 3) * 25
-    tables = r.select("doc_id", "pg", F.col("rix").alias("tix"), (F.col("x0") + dx).alias("x0"), (F.col("y0") + dy).alias("y0"), (F.col("x1") + dx).alias("x1"), (F.col("y1") + dy).alias("y1"))
+    tables = r.select("doc_id", "pg", F.col("rix").alias("tix"), F.when(F.col("rix") % 3 == 1, "<table></table>").otherwise("<td></td>").alias("html"), (F.col("x0") + dx).alias("x0"), (F.col("y0") + dy).alias("y0"), (F.col("x1") + dx).alias("x1"), (F.col("y1") + dy).alias("y1"))
     return compose.best_table(r, tables)
 
 
@@ -364,16 +385,16 @@ def seeded_sample(spark: SparkSession, d: str) -> DataFrame:
     return experiments.sample(docs(spark, d).select("doc_id", "lang"), "doc_id", 17, 50)
 
 
-_TURNS = f"tt AS (SELECT conv_id, turn, role, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS before, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS before_role FROM conversations), pr AS (SELECT * FROM tt WHERE role = 'assistant' AND before_role = 'user'), tk AS (SELECT conv_id, turn, unnest({_TOK.format('before')}) AS w, 1 AS r, 0 AS h FROM pr UNION ALL SELECT conv_id, turn, unnest({_TOK.format('text')}), 0, 1 FROM pr), ct AS (SELECT conv_id, turn, w, sum(r) AS r, sum(h) AS h FROM tk GROUP BY ALL)"
+_TURNS = f"tt AS (SELECT conv_id, turn, role, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS before, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS before_role FROM conversations), pr AS (SELECT * FROM tt WHERE role = 'assistant' AND before_role = 'user'), tk AS (SELECT conv_id, turn, unnest({_TOK.format('before')}) AS w, 1 AS r, 0 AS h FROM pr UNION ALL SELECT conv_id, turn, unnest({_TOK.format('text')}), 0, 1 FROM pr UNION ALL SELECT conv_id, turn, NULL, 0, 0 FROM pr), ct AS (SELECT conv_id, turn, w, sum(r) AS r, sum(h) AS h FROM tk GROUP BY ALL)"
 
 
-@query(f"WITH {_TURNS} SELECT conv_id, turn, sum(least(r, h))::BIGINT AS overlap, 2.0::DOUBLE * sum(least(r, h)) / (sum(r) + sum(h)) AS f1 FROM ct GROUP BY ALL")
+@query(f"WITH {_TURNS} SELECT conv_id, turn, sum(least(r, h))::BIGINT AS overlap, CASE WHEN sum(least(r, h)) = 0 THEN 0.0 ELSE 2.0::DOUBLE * sum(least(r, h)) / (sum(r) + sum(h)) END AS f1 FROM ct GROUP BY ALL")
 def word_f1_turns(spark: SparkSession, d: str) -> DataFrame:
     w = Window.partitionBy("conv_id").orderBy("turn")
     told = c.load(spark, d, "conversations").withColumn("before", F.lag("text").over(w)).withColumn("before_role", F.lag("role").over(w))
     pairs = told.filter("role = 'assistant' and before_role = 'user'").select("conv_id", "turn", F.col("before").alias("ref"), F.col("text").alias("hyp"))
     over = metrics.bag_overlap(pairs, ["conv_id", "turn"], "ref", "hyp")
-    return over.select("conv_id", "turn", "overlap", (F.lit(2.0) * F.col("overlap") / (F.col("ref_words") + F.col("hyp_words"))).alias("f1"))
+    return over.select("conv_id", "turn", "overlap", F.when(F.col("overlap") == 0, 0.0).otherwise(F.lit(2.0) * F.col("overlap") / (F.col("ref_words") + F.col("hyp_words"))).alias("f1"))
 
 
 # --- jobs and streams
@@ -424,3 +445,6 @@ def _box_join(spark: SparkSession, d: str) -> DataFrame:
 @query(c.with_sql("lines", "ocr") + "SELECT doc_id, pg, ix, (x1 - x0) * (y1 - y0) AS area FROM ocr")
 def segment_areas(spark: SparkSession, d: str) -> DataFrame:
     return _box_join(spark, d)
+
+
+from . import reports  # noqa: E402, F401  (adds its queries)
