@@ -67,3 +67,39 @@ def first_pairs(images: DataFrame, truths: DataFrame, n: int) -> DataFrame:
     last = F.row_number().over(Window.partitionBy("stem").orderBy(F.desc("truth_path")))
     one = truths.withColumn("k", last).filter("k = 1").drop("k")
     return images.join(one, "stem").orderBy("path").limit(n)
+
+
+def peek(spark: SparkSession, path: str) -> DataFrame:
+    """(path, format) of the files under a path by their first bytes; null if unknown or unreadable."""
+    raw = spark.read.format("binaryFile").option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).load(path)
+    return raw.select("path", sniff(F.col("content")).alias("format"))
+
+
+def as_pdf(fmt: Column) -> Column:
+    """What becomes of an upload: a PDF is kept, an image converted, anything else refused with a reason."""
+    action = F.when(fmt == "pdf", "keep").when(fmt.isNotNull(), "convert").otherwise("refuse")
+    return F.struct(action.alias("action"), F.when(fmt.isNull(), F.lit("unsupported format")).alias("error"))
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Labels of a JSON manifest: (id, pdf, pages, transcript, note, render); transcripts lie beside the manifest."""
+    entry = "struct<id:string,pdf:string,page:int,pages:array<int>,transcript:string,note:string,render:boolean>"
+    read = spark.read.schema(f"labels array<{entry}>").option("multiLine", True).json(path).select(F.explode("labels").alias("l")).select("l.*")
+    folder = path.rsplit("/", 1)[0] if "/" in path else "."
+    return read.select("id", "pdf", F.coalesce("pages", F.array("page")).alias("pages"), F.concat(F.lit(folder + "/"), "transcript").alias("transcript"), F.coalesce("note", F.lit("")).alias("note"), F.coalesce("render", F.lit(False)).alias("render"))
+
+
+def truth_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Boxed lines of form annotations: (path, ix, text, x0, y0, x1, y1), blank texts and missing boxes left out."""
+    read = spark.read.schema("form array<struct<text:string,box:array<double>>>").option("multiLine", True).json(path).withColumn("path", F.input_file_name())
+    rows = read.select("path", F.posexplode("form").alias("ix", "f")).filter("coalesce(f.text, '') <> '' and size(f.box) = 4")
+    return rows.select("path", "ix", "f.text", *(F.get("f.box", F.lit(k)).alias(n) for k, n in enumerate(("x0", "y0", "x1", "y1"))))
+
+
+def append_rows(rows: DataFrame, path: str) -> None:
+    """Add result rows to a CSV folder."""
+    rows.write.mode("append").option("header", True).csv(path)
+
+
+def result_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).option("header", True).csv(path)
