@@ -6,6 +6,7 @@ import pickle
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import pyarrow as pa
@@ -21,10 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir.  Where it is unset, a local session (tests) gets a
+    temporary folder, and a cluster an error, since its machines would not see each other's files."""
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="vellum-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base
@@ -35,10 +39,26 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes what is materialized inside, at the end, but for what is kept."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            remove(spark, path)
+
+
+def materialize(df: DataFrame, label: str, path: str | None = None, keep: bool = False) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = path or new_path(spark, label)
+    if _scratch and not keep:
+        _scratch[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

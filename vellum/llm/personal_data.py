@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_GAP, free_names, let, materialize
+from .common import WORD_GAP, free_names, let, materialize, scratch
 
 #: Possessive and anchored at the start of a run, so that no text takes more than linear time; the matches
 #: are those of the plain pattern.
@@ -279,9 +279,10 @@ def masked(text: Column, spans: Column) -> Column:
 def redact(docs: DataFrame) -> DataFrame:
     """All documents with the spans masked in their texts (and n_chars, if present, counted anew).  Base spans
     are found again where the text is, so that only discovered ones are joined to it."""
-    read = materialize(read_once(docs), "pii-read")
     d, h, s, every = free_names(docs.columns, "_d", "_h", "_s", "_all")
-    more = materialize(_per_row(discover(read)).withColumnsRenamed({"doc_id": d, "h": h, "more": s}), "pii-found")
+    with scratch(docs.sparkSession):
+        read = materialize(read_once(docs), "pii-read")
+        more = materialize(_per_row(discover(read)).withColumnsRenamed({"doc_id": d, "h": h, "more": s}), "pii-found", keep=True)
     joined = docs.join(more, docs["doc_id"].eqNullSafe(F.col(d)) & (F.xxhash64(docs["text"]) == F.col(h)), "left")
     spans = F.concat(base_spans(F.coalesce("text", F.lit(""))), F.coalesce(s, F.array().cast(SPANS)))
     # A generator is computed once per row, where a plain column would be copied into each use.

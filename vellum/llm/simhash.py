@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, materialize
+from .common import free_names, materialize, scratch
 from .components import connected_components
 
 SEED = 42
@@ -148,7 +148,8 @@ def _spread(prints: DataFrame, named: DataFrame, salts: int = 16) -> DataFrame:
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without all but the first of each component of fingerprints."""
-    return first_of_each(docs, near_duplicates(docs, **options))
+    with scratch(docs.sparkSession):
+        return first_of_each(docs, near_duplicates(docs, **options))
 
 
 def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -161,11 +162,11 @@ def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     named = found.filter("doc_id is not null").select("doc_id", "h", "fp", "component_id")
     own = named.filter("doc_id = component_id").groupBy("doc_id", "fp").agg(F.min("h").alias("first"), F.count("*").alias("k"))
     losers = named.filter("doc_id <> component_id").select("doc_id", "h")
-    several = materialize(own.filter("k > 1").select("doc_id", "fp", "first"), "simhash-repeats")
+    several = materialize(own.filter("k > 1").select("doc_id", "fp", "first"), "simhash-repeats", keep=True)
     if not several.isEmpty():
         losers = losers.union(named.filter("doc_id = component_id").join(several, ["doc_id", "fp"]).filter("h <> first").select("doc_id", "h"))
     d, h, first = free_names(docs.columns, "_d", "_h", "_first")
-    losers = materialize(losers.distinct().withColumnsRenamed({"doc_id": d, "h": h}), "simhash-losers")
+    losers = materialize(losers.distinct().withColumnsRenamed({"doc_id": d, "h": h}), "simhash-losers", keep=True)
     small = losers.count() <= BROADCAST_ROWS
     same = (docs["doc_id"].cast("long") == F.col(d)) & (F.xxhash64(docs["text"]) == F.col(h))
     kept = docs.join(F.broadcast(losers) if small else losers, same, "left_anti")
