@@ -561,10 +561,12 @@ def plain_links(ids, texts):
     return {i: find(i) for i in ids}
 
 
-@pytest.mark.parametrize("centres", [(1, 4), ()])
-def test_stage_links_every_pair_of_similarity_four_fifths(spark, centres):
+@pytest.mark.parametrize("centres,share", [((1, 4), 2), ((), 3)])
+def test_stage_links_every_pair_of_similarity_four_fifths(spark, monkeypatch, centres, share):
     from vellum.llm import shingle_sets
 
+    # Buckets of ten copies are split into several parts.
+    monkeypatch.setattr(shingle_sets, "SHARE", share)
     rng = np.random.default_rng(8)
     texts = []
     for g in range(12):
