@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
+#: Rows (four numbers each) of chosen paths that are broadcast; more meet the texts in a shuffled join.
+BROADCAST_ROWS = 1_000_000
 START, END, NEWLINE = "<|im_start|>", "<|im_end|>", "<|n|>"
 
 
@@ -64,11 +66,16 @@ def format_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     """(conv_id, leaf, branch, formatted, mask): the best ``branches`` paths of each conversation."""
     # A struct of one field, so that a null conv_id meets itself in joins.
     messages = messages.select(F.struct("conv_id").alias("conv_id"), "node", "parent", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), "score")
-    told = paths(messages).join(messages, ["conv_id", "node"])
-    turn = F.struct((-F.col("up")).alias("at"), "role", "text")
-    whole = told.groupBy("conv_id", "leaf").agg(F.avg("score").alias("score"), F.array_sort(F.collect_list(turn)).alias("turns"))
+    messages = materialize(messages, "tree-messages")
+    # Branches are ranked by keys and scores; texts meet the chosen ones alone.
+    told = materialize(paths(messages).join(messages.select("conv_id", "node", "score"), ["conv_id", "node"]), "tree-told")
     rank = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.desc("score"), "leaf"))
-    chosen = whole.withColumn("branch", rank).filter(F.col("branch") <= branches)
+    ranked = told.groupBy("conv_id", "leaf").agg(F.avg("score").alias("score")).withColumn("branch", rank)
+    best = materialize(told.drop("score").join(ranked.filter(F.col("branch") <= branches).drop("score"), ["conv_id", "leaf"]), "tree-chosen")
+    best = F.broadcast(best) if best.count() <= BROADCAST_ROWS else best
+    turn = F.struct((-F.col("up")).alias("at"), "role", "text")
+    said = messages.select("conv_id", "node", "role", "text").join(best, ["conv_id", "node"])
+    chosen = said.groupBy("conv_id", "leaf", "branch").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
 
     def parts(t: Column) -> Column:
         head = F.concat(F.lit(START), F.regexp_replace(escape(t["role"]), "\n", NEWLINE), F.lit("\n"))
