@@ -161,8 +161,9 @@ def word_recall_precision(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _char_errors(spark: SparkSession, d: str) -> DataFrame:
-    """Edit distance line by line: whole texts, and no table larger than a line squared."""
-    cut = c.lines(spark, d).select("doc_id", metrics.distance(F.col("t"), c.confused("t")).alias("e"), F.length("t").cast("long").alias("n"))
+    """Edit distance line by line: whole texts, and no table larger than a line squared.  Lines are dealt to all
+    tasks first, since the work on them grows with their square and a file may be one split."""
+    cut = c.lines(spark, d).select("doc_id", "ix", "t").repartition("doc_id", "ix").select("doc_id", metrics.distance(F.col("t"), c.confused("t")).alias("e"), F.length("t").cast("long").alias("n"))
     return cut.groupBy("doc_id").agg(F.sum("e").alias("char_errors"), F.sum("n").alias("ref_chars"))
 
 
@@ -193,7 +194,8 @@ def _scored(spark: SparkSession, d: str) -> DataFrame:
     told = docs(spark, d).select("doc_id", "lang", "source").join(pages, "doc_id", "left")
     told = told.select("doc_id", F.coalesce("pg", F.lit(0)).alias("pg"), "lang", "source", tx.normalize(F.coalesce("ref", F.lit(""))).alias("ref")).withColumn("hyp", c.confused("ref"))
     over = metrics.bag_overlap(told, ["doc_id", "pg"], "ref", "hyp")
-    errors = told.select("doc_id", "pg", "lang", "source", metrics.distance(F.col("ref"), F.col("hyp")).alias("char_errors"), F.length("ref").cast("long").alias("ref_chars"))
+    # Dealt by page, as the join may be a broadcast and the scan of the documents one task.
+    errors = told.repartition("doc_id", "pg").select("doc_id", "pg", "lang", "source", metrics.distance(F.col("ref"), F.col("hyp")).alias("char_errors"), F.length("ref").cast("long").alias("ref_chars"))
     return errors.join(over, ["doc_id", "pg"])
 
 
