@@ -22,17 +22,23 @@ def _most(items: Column) -> Column:
         run = F.when(acc["last"] == x, acc["run"] + 1).otherwise(1)
         return F.struct(x.alias("last"), run.alias("run"), F.greatest(acc["best"], run).alias("best"))
 
-    return F.aggregate(F.array_sort(items), start, step, lambda acc: acc["best"])
+    return F.aggregate(F.sort_array(items), start, step, lambda acc: acc["best"])
 
 
 def _by(text: Column, split, body) -> Column:
     return F.element_at(F.transform(F.array(split(F.coalesce(text, F.lit("")))), body), 1)
 
 
+def _middle(items: Column) -> Column:
+    """How often the middle element in order occurs: the most frequent one, if any fills more than half."""
+    middle = F.get(F.sort_array(items), F.floor(F.size(items) / 2).cast("int"))
+    return F.element_at(F.transform(F.array(middle), lambda m: F.size(F.filter(items, lambda x: x == m))), 1)
+
+
 def flooded(text: Column) -> Column:
     """One character, or three at most, fill 200 or more that are not white space."""
     chars = lambda t: F.filter(F.split(F.regexp_replace(t, r"(?U)\s", ""), ""), lambda c: c != "")
-    return _by(text, chars, lambda cs: (F.size(cs) >= 200) & ((_most(cs) >= 0.90 * F.size(cs)) | (F.size(F.array_distinct(cs)) <= 3)))
+    return _by(text, chars, lambda cs: (F.size(cs) >= 200) & ((_middle(cs) >= 0.90 * F.size(cs)) | (F.size(F.array_distinct(cs)) <= 3)))
 
 
 def looping(text: Column) -> Column:
