@@ -451,6 +451,18 @@ def test_near_duplicates_equal_all_pairs(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0 and simhash.deduplicate(empty(spark)).count() == 0
 
 
+def test_tables_that_grow_with_the_input_are_not_broadcast(spark):
+    """Exploded tables of few classes or edges look small to Spark, whose driver then has to hold all their rows."""
+    from vellum.llm import components
+
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    classes = spark.range(40).select(F.col("id").alias("rep"), (F.col("id") * F.col("id")).alias("fp"))
+    edges = spark.range(40).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
+    prints = classes.select(F.col("rep").alias("doc_id"), F.lit(1).alias("h"), "fp")
+    for df in (simhash.linked_classes(classes, 3), components._joined(edges), simhash._spread(prints, classes.select("fp", F.col("rep").alias("component_id")))):
+        assert "Broadcast" not in plan(df)
+
+
 # --- chat
 
 

@@ -87,6 +87,12 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def dealt(left: DataFrame, right: DataFrame, on: list[str] | str, how: str = "inner") -> DataFrame:
+    """A join of two tables that grow with the input: always shuffled.  Left to itself Spark broadcasts an exploded table
+    whenever what it was exploded from is small, since its estimate leaves the rows that explode adds out."""
+    return left.hint("merge").join(right.hint("merge"), on, how)
+
+
 def free_names(taken: list[str], *names: str) -> list[str]:
     """The names, each with underscores added until no column has it."""
     used, out = {c.lower() for c in taken}, []

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, new_path, remove
+from .common import dealt, materialize, new_path, remove
 
 SALTS = 8
 
@@ -24,7 +24,7 @@ def _minima(edges: DataFrame) -> DataFrame:
 def _joined(edges: DataFrame) -> DataFrame:
     salted = edges.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
     least = _minima(edges).withColumn("s", F.explode(F.array([F.lit(i).cast("long") for i in range(SALTS)])))
-    return salted.join(least, ["u", "s"])
+    return dealt(salted, least, ["u", "s"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, materialize, scratch
+from .common import dealt, free_names, materialize, scratch
 from .components import connected_components
 
 SEED = 42
@@ -111,8 +111,8 @@ def linked_classes(classes: DataFrame, segments: int, bucket: int = BUCKET) -> D
     hot = materialize(stored.groupBy("key").count().filter(F.col("count") > bucket).select("key"), "simhash-hot")
     close = (F.col("rep") < F.col("rep2")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= RADIUS)
     if hot.isEmpty():
-        return stored.join(probing, "key").filter(close).select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
-    pairs = stored.join(hot, "key", "left_anti").join(probing, "key").filter(close)
+        return dealt(stored, probing, "key").filter(close).select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
+    pairs = dealt(stored.join(hot, "key", "left_anti"), probing, "key").filter(close)
     pairs = pairs.select(F.col("rep").alias("a"), F.col("rep2").alias("b"))
     crowd = probing.join(hot, "key", "left_semi").select(F.col("rep2").alias("rep"), F.col("fp2").alias("fp")).distinct()
     ball = F.array([F.lit(_signed(x)) for x in _ball(64, RADIUS // 2)])
@@ -133,7 +133,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, segments: int | None = No
         segments = 3 if classes.count() < 1 << 26 else 2
     edges = linked_classes(classes, segments, bucket)
     labels = connected_components(edges)
-    named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    named = dealt(classes, labels.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("fp", F.coalesce("component", "rep").alias("component_id"))
     return _spread(prints, named)
 
@@ -143,7 +143,7 @@ def _spread(prints: DataFrame, named: DataFrame, salts: int = 16) -> DataFrame:
     does not land in one task."""
     left = prints.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)))
     right = named.withColumn("salt", F.explode(F.array([F.lit(i).cast("long") for i in range(salts)])))
-    return left.join(right, ["fp", "salt"], "left").select("doc_id", "h", "fp", "component_id")
+    return dealt(left, right, ["fp", "salt"], "left").select("doc_id", "h", "fp", "component_id")
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
