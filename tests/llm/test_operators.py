@@ -599,6 +599,36 @@ def test_stage_links_every_pair_of_similarity_four_fifths(spark, monkeypatch, ce
     assert shingle_sets.near_duplicates(empty(spark)).count() == 0 and shingle_sets.deduplicate(empty(spark)).count() == 0
 
 
+def test_stage_finds_candidates_by_fingerprints(spark):
+    """Multi-index hashing alone connects the sets as all pairs of fingerprints within four bits do."""
+    from vellum.llm import shingle_sets
+
+    rng = np.random.default_rng(9)
+    texts = []
+    for g in range(6):
+        base = [f"g{g}w{k}" for k in range(400)]
+        for _ in range(8):
+            ws = list(base)
+            ws[int(rng.integers(0, 400))] = f"new{rng.integers(1 << 30)}"
+            texts.append(" ".join(ws))
+    sets = [shingle_sets.text_set(t) for t in texts]
+    prints = [simhash.fingerprint(s) for s in sets]
+    want = plain_components(list(range(len(texts))), prints)
+    assert len(set(want.values())) < 30
+    read = shingle_sets.read_sets(documents(spark, texts), 5, False).filter("doc_id is not null").cache()
+    assert {r.doc_id: r.sim % (1 << 64) for r in read.collect()} == dict(enumerate(prints))
+    pairs = shingle_sets.close_sets(read.select(F.col("doc_id").alias("rep"), F.xxhash64("fp").alias("v"), "sim"))
+    found = {(r.a, r.b) for r in pairs.collect()}
+    assert all((prints[a] ^ prints[b]).bit_count() <= 4 for a, b in found)
+    labels = {r.node: r.component for r in simhash.connected_components(pairs).collect()}
+    assert {i: labels.get(i, i) for i in want} == want
+    # No bands are needed for the links among them.
+    members = spark.createDataFrame([(k, s.view(np.int64).tolist()) for k, s in enumerate(sets)], "rep long, members array<long>")
+    none = spark.createDataFrame([], "key long, rep long, n int, u long")
+    linked = {r.node: r.component for r in shingle_sets.linked_sets(none, [pairs], members).collect()}
+    assert linked == labels
+
+
 def test_pipeline_removes_copies_that_simhash_leaves(spark):
     import corpus_pipeline
 

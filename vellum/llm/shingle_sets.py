@@ -1,9 +1,11 @@
 """Near-duplicates by exact similarity of word-shingle sets.
 
 Two texts link if the Jaccard similarity of their sets of five-word shingles is at least 4/5.
-Candidates share one of 32 bands of four min-hashes: a pair at similarity 0.8 shares none with
-probability (1 - 0.8**4)**32 < 5e-8, a more similar one still less often.  Every candidate is verified on
-the whole sets, so nothing below 0.8 links.
+Candidates come first from multi-index hashing of the sets' SimHash fingerprints, as in simhash.  Sets of similarity
+0.8 differ by about 10 of 64 bits, which no segment table reaches short of comparing a large part of all pairs;
+so sets that lie beyond the fingerprints' radius of 4 bits and are not connected yet meet in bands: 32 of four
+min-hashes, of which a pair at similarity 0.8 shares none with probability (1 - 0.8**4)**32 < 5e-8, a more similar one
+still less often.  Every candidate is verified on the whole sets, so nothing below 0.8 links.
 
 Equal sets are folded to one class first.  Pairs that share rare shingles are compared directly; beside them, a
 set with many rare shingles cannot reach 4/5 with any other and leaves.  In a band's bucket every member is compared with one centre, then with a few more, and at last all pairs
@@ -24,9 +26,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, new_path, remove, scratch
+from .common import dealt, materialize, new_path, remove, scratch
 from .components import connected_components
-from .simhash import BROADCAST_ROWS, _spread, first_of_each, shingle_hashes
+from .simhash import BROADCAST_ROWS, _spread, fingerprint, first_of_each, linked_classes, shingle_hashes
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
@@ -70,7 +72,8 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def read_sets(docs: DataFrame, shingle: int, whole: bool) -> DataFrame:
-    """(doc_id, h, fp binary, n, and band keys or, if ``whole``, members) of every row; ``fp`` names the set, ``h`` the text."""
+    """(doc_id, h, fp binary, n, sim, and band keys or, if ``whole``, members) of every row; ``fp`` names the set, ``h`` the
+    text, ``sim`` is the set's SimHash fingerprint."""
     last = "members" if whole else "keys"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,9 +82,21 @@ def read_sets(docs: DataFrame, shingle: int, whole: bool) -> DataFrame:
                 b = all_rows.slice(at, PART)
                 sets = [text_set(t.as_py(), shingle) for t in b.column(2)]
                 made = [b.column(0), b.column(1), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int32())]
-                yield pa.RecordBatch.from_arrays([*made, _lists(sets if whole else [band_keys(x) for x in sets])], names=["doc_id", "h", "fp", "n", last])
+                made.append(pa.array(np.fromiter(map(fingerprint, sets), np.uint64, len(sets)).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*made, _lists(sets if whole else [band_keys(x) for x in sets])], names=["doc_id", "h", "fp", "n", "sim", last])
 
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text").mapInArrow(run, f"doc_id long, h long, fp binary, n int, {last} array<long>")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text").mapInArrow(run, f"doc_id long, h long, fp binary, n int, sim long, {last} array<long>")
+
+
+def close_sets(own: DataFrame, segments: int | None = None) -> DataFrame:
+    """Pairs (a, b), a < b, of the sets ``own`` (rep, v, sim) that connect them as all pairs of fingerprints within the
+    radius do: multi-index hashing links fingerprints, the sets of one fingerprint meet the least of them."""
+    sims = materialize(own.groupBy("sim").agg(F.min("rep").alias("rep")), "sets-sims")
+    if segments is None:
+        segments = 3 if sims.count() < 1 << 26 else 2
+    linked = linked_classes(sims.select("rep", F.col("sim").alias("fp")), segments)
+    equal = _spread(own.select(F.col("rep").alias("doc_id"), F.col("v").alias("h"), F.col("sim").alias("fp")), sims.select(F.col("sim").alias("fp"), F.col("rep").alias("component_id")))
+    return linked.union(equal.filter("component_id < doc_id").select("component_id", "doc_id")).distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -120,12 +135,22 @@ def can_link(met: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, near.select(F.col("rep1").alias("a"), F.col("rep2").alias("b")).distinct()
 
 
-def linked_sets(members: DataFrame, near: DataFrame, sets: DataFrame, centres: tuple[int, ...] = CENTRES) -> DataFrame | None:
-    """(node, component) of all nodes that links connect; ``members`` has key, rep, n, u of the buckets, ``near`` more candidates."""
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) that ``labels`` do not connect yet."""
+    for at in "ab":
+        pairs = dealt(pairs, labels.select(F.col("node").alias(at), F.col("component").alias(f"c{at}")), at, "left")
+    return pairs.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
+
+def linked_sets(members: DataFrame, near: list[DataFrame], sets: DataFrame, centres: tuple[int, ...] = CENTRES) -> DataFrame | None:
+    """(node, component) of all nodes that links connect; ``members`` has key, rep, n, u of the buckets, ``near`` lists more
+    candidates, each verified where those before have not connected it."""
     edges = labels = None
-    found = materialize(verified(near, sets), "sets-edges")
-    if not found.isEmpty():
-        edges, labels = found, materialize(connected_components(found), "sets-labels")
+    for pairs in near:
+        found = materialize(verified(pairs if labels is None else _apart(pairs, labels), sets), "sets-edges")
+        if not found.isEmpty():
+            edges = found if edges is None else edges.union(found)
+            labels = materialize(connected_components(edges), "sets-labels")
     for k in (*centres, 0):
         now = members.withColumn("c", F.col("rep"))
         if labels is not None:
@@ -157,21 +182,26 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, centres: tuple[int,
     classes = materialize(read.groupBy("fp").agg(F.min("doc_id").alias("rep")).filter("rep is not null"), "sets-classes")
     # ``v`` tells sets of one doc_id apart.
     v = F.xxhash64("fp").alias("v")
-    own = read.select(F.col("doc_id").alias("rep"), "fp", v, "n", "keys").join(classes, ["rep", "fp"])
+    own = read.select(F.col("doc_id").alias("rep"), "fp", v, "n", "sim", "keys").join(classes, ["rep", "fp"])
     path = new_path(spark, "sets-bands")
     banded = materialize(own.select(F.explode("keys").alias("key"), "rep", "v", "n"), "sets-bands", path)
     shared = banded.groupBy("key").agg(F.min("rep").alias("r1"), F.max("rep").alias("r2")).filter("r1 < r2").select("key")
     met = materialize(banded.join(shared, "key").distinct(), "sets-members")
     remove(spark, path)
-    # Whole sets are made of the rows that share a bucket alone, where their texts are.
-    rows = read.select(F.col("doc_id").alias("rep"), "h", v).join(met.select("rep", "v").distinct(), ["rep", "v"])
+    close = materialize(close_sets(own.select("rep", "v", "sim")), "sets-close")
+    # Whole sets are made of the rows that share a bucket or lie close alone, where their texts are.
+    ends = close.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    wanted = met.select("rep", "v").union(dealt(own.select("rep", "v"), ends, "rep")).distinct()
+    rows = read.select(F.col("doc_id").alias("rep"), "h", v).join(wanted, ["rep", "v"])
     rows = materialize(rows.groupBy("rep", "v").agg(F.min("h").alias("h")).select(F.col("rep").alias("_rep"), F.col("h").alias("_h")).distinct(), "sets-rows")
     same = (F.col("doc_id") == F.col("_rep")) & (F.col("h") == F.col("_h"))
     texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text").join(F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows, same, "left_semi")
     sets = read_sets(texts, shingle, True).select(F.col("doc_id").alias("rep"), v, "members")
     sets = materialize(sets.dropDuplicates(["rep", "v"]), "sets-met")
     members, near = can_link(met, sets)
-    labels = linked_sets(materialize(members, "sets-linkable"), near, sets, centres)
+    # Each set with the least that lies close first, so that a group of copies takes work linear in its size.
+    stars = close.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    labels = linked_sets(materialize(members, "sets-linkable"), [stars, close, near], sets, centres)
     named = classes.select("fp", F.col("rep").alias("component_id"))
     if labels is not None:
         named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))

@@ -54,15 +54,19 @@ def shingle_hashes(text: str | None, shingle: int) -> list[int]:
     return [digest(joined[s:e], SEED) for s, e in zip(starts[:-last or None].tolist(), ends[last:].tolist())]
 
 
-def text_fingerprint(text: str | None, shingle: int = 4) -> int:
-    hashes = shingle_hashes(text, shingle)
-    if not hashes:
+def fingerprint(hashes: list[int] | np.ndarray) -> int:
+    """Bits set in over half of the hashes; zero for none."""
+    if not len(hashes):
         return 0
     lanes = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8) + _LANES
     counts = np.bincount(lanes.ravel(), minlength=2048).reshape(8, 256) @ _BITS
     return int.from_bytes(np.packbits((2 * counts > len(hashes)).ravel(), bitorder="little").tobytes(), "little")
 
 
+def text_fingerprint(text: str | None, shingle: int = 4) -> int:
+    return fingerprint(shingle_hashes(text, shingle))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """(doc_id, h, fp long) of every row; ``h`` is a hash of the text that tells rows of one id apart."""
 
