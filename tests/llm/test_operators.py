@@ -192,6 +192,38 @@ def test_ids_equal_the_library():
     settings(max_examples=400, deadline=None)(given(st.text(st.one_of(st.sampled_from(" \n\t\raeinrst.,'1"), st.characters(exclude_categories=["Cs"])), max_size=60))(check))()
 
 
+def test_frequent_pieces_are_encoded_once(monkeypatch):
+    """CPU seconds of op5: a full table keeps what is met again, and closing marks cost no call of the library."""
+    coder = token_files.Encoder(queries.tokenizer("byte_bpe_50k.json"))
+    monkeypatch.setattr(token_files, "REMEMBERED", 60)
+    asked, word = [], coder.word
+    monkeypatch.setattr(coder, "word", lambda p: asked.append(p) or word(p))
+    letters = "abcdefghij"
+    frequent = [f" frequent{a}" for a in letters]
+    for k in range(60):
+        new = [f" {letters[k // 10]}{letters[k % 10]}{a}{b}" for a in letters[:6] for b in letters[:5]]
+        text = "".join(frequent + new + [f"{p}!!?" for p in frequent])
+        assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == coder.library.encode(text, add_special_tokens=False).ids
+    assert sorted(p for p in asked if "frequent" in p) == frequent
+
+
+def test_slices_of_texts_equal_the_library(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 7)
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 100)
+    coder = token_files.Encoder(queries.tokenizer("byte_bpe_50k.json"))
+
+    def check(texts):
+        got = [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)]
+        assert got == [coder.library.encode(t, add_special_tokens=False).ids for t in texts], texts
+
+    check([])
+    check(TRICKY * 2)
+    check(["a<|endoftext|>. b", "", "\n", " ", "it's. don't' x'll!\n'", "b" * 70 + " " + "b" * 70 + "." + " c" * 80, "\n a", "a\xa0. b\x1c", "é!! 中文。. 1.,"])
+    check(["a\n\nb  c", "a \nb\n c", "a  <|endoftext|> b", "  ", "a\n\n", "a\n\n\nb", "\n\na \tb\t\t c", "a\r\nb"])
+    text = st.text(st.one_of(st.sampled_from(" \n\taeis.,'!<|>1"), st.characters(exclude_categories=["Cs"])), max_size=40)
+    settings(max_examples=300, deadline=None)(given(st.lists(text, max_size=8))(check))()
+
+
 @pytest.mark.parametrize("unit", [8, 1])
 def test_planes_round_trip(unit):
     import pyarrow as pa

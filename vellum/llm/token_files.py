@@ -14,7 +14,9 @@ A reader seeks from the footer to any chunk.  File names carry a unique tag, and
 reach the committed manifest count, so a task that dies or runs twice leaves nothing that is read.
 
 The encoder cuts a text where its pre-tokenizer always cuts (before a lone space or around a lone newline)
-and remembers the ids of pieces in a bounded table per worker: this changes speed only.
+and remembers the ids of pieces in two bounded tables per worker, a newer and an older one.  Two white-space
+characters with a word behind are two pre-tokens, so texts without longer runs are cut at every space and newline,
+a slice of them at once, and each distinct piece is looked up once.  This changes speed only.
 
 Cases: null is the empty text (its end id alone); repeated rows follow each other, ordered by text; a
 null doc_id sorts first; a special token's string in a text becomes its id, as the library does by default.
@@ -28,11 +30,13 @@ import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
@@ -44,12 +48,18 @@ from .common import materialize, new_path
 MAGIC = b"VPLANE1\0"
 CHUNK = 1 << 17
 SHARD_BYTES = 16 << 20
-REMEMBERED = 600_000
-_DOUBLE = re.compile(r"\s\s")
+SLICE_BYTES = 4 << 20
+REMEMBERED = 400_000
+_GAP = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: White space that may be cut only before its last character, or not at all (before the end or a special token).
+_RUNS = rf"{_GAP}{{3}}|{_GAP}{{2}}(\z|<\|)"
 _CUTS = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 
 
 class Encoder:
+    """The library's ids of whole texts, from remembered ids of pieces.  A piece that has no space before it stands
+    after a newline, so it is remembered with the newline's id in front: a text is its pieces' ids less a first one."""
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -60,51 +70,92 @@ class Encoder:
         others = [x for x in range(256) if x not in set(printable)]
         #: The byte-level alphabet, by byte.
         self.alphabet = {x: x for x in printable} | {x: 256 + k for k, x in enumerate(others)}
-        self.memory: dict[str, bytes] = {}
+        self.space = chr(self.alphabet[32])
+        self.newline = self.whole("\n")
+        self.memory = Memory(self.find)
 
     def word(self, piece: str) -> bytes:
         """Ids of a piece that is one pre-token: the library's model without its text layers."""
-        mapped = piece.encode().decode("latin-1").translate(self.alphabet)
+        if piece.isascii():
+            mapped = self.space + piece[1:] if piece[0] == " " else piece
+        else:
+            mapped = piece.encode().decode("latin-1").translate(self.alphabet)
         return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        if _DOUBLE.search(text):
-            return _CUTS.split(text)
-        out: list[str] = []
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out.append("\n")
-            first, *rest = line.split(" ")
-            if first:
-                out.append(first)
-            out += [" " + w for w in rest]
-        return out
+    def whole(self, piece: str) -> bytes:
+        return array("I", self.library.encode_batch_fast([piece], add_special_tokens=False)[0].ids).tobytes()
+
+    def find(self, piece: str) -> bytes:
+        """Ids of a piece, after a newline's unless it starts with a space."""
+        ids = self.word(piece) if piece[piece[:1] == " " :].isalpha() else self.whole(piece)
+        return ids if piece[:1] == " " else self.newline + ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit words."""
-        cut = [self.pieces(t) for t in texts]
-        if len(self.memory) > REMEMBERED:
-            self.memory.clear()
-        memory = self.memory
-        missing = {p for c in cut for p in c if p not in memory}
-        # A closing stop or comma is a token's start of its own after a letter: the stem may be known.
-        stems = {p: p[:-1] for p in missing if p[-1:] in (".", ",") and p[-2:-1].isalpha()}
-        fresh = list({*(p for p in missing if p not in stems), *(s for s in stems.values() if s not in memory), ".", ","})
-        long: dict[str, bytes] = {}
-        rest = []
-        for p in fresh:
-            if p[p[:1] == " " :].isalpha():
-                (memory if len(p) <= 64 else long)[p] = self.word(p)
-            else:
-                rest.append(p)
-        for p, e in zip(rest, self.library.encode_batch_fast(rest, add_special_tokens=False)):
-            (memory if len(p) <= 64 else long)[p] = array("I", e.ids).tobytes()
-        for p, s in stems.items():
-            (memory if len(p) <= 64 else long)[p] = (memory.get(s) or long[s]) + memory[p[-1]]
-        if long:
-            return [b"".join([memory.get(p) or long[p] for p in c]) for c in cut]
-        return [b"".join([memory[p] for p in c]) for c in cut]
+        return [*self.stream(pa.array(texts, pa.string()))]
+
+    def stream(self, texts: pa.Array) -> Iterator[bytes]:
+        """``encode`` of a column, a bounded slice at a time."""
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        s = 0
+        while s < len(texts):
+            upto = max(s + 1, int(np.searchsorted(ends, (ends[s - 1] if s else 0) + SLICE_BYTES, "right")))
+            yield from self._slice(texts.slice(s, upto - s))
+            s = upto
+
+    def _slice(self, texts: pa.Array) -> list[bytes]:
+        known = self.memory.__getitem__
+        self.memory.long.clear()
+        if len(texts) == 1 or pc.any(odd := pc.match_substring_regex(texts, _RUNS)).as_py():
+            odd = [True] if len(texts) == 1 else odd.to_pylist()
+            rest = iter(self._slice(texts.filter(pa.array([not x for x in odd])))) if not all(odd) else iter(())
+            return [self._cut(t) if x else next(rest) for t, x in zip(texts.to_pylist(), odd)]
+        # Each piece of these texts is looked up once.
+        cut = pc.split_pattern(pc.replace_substring(texts, " ", "\n "), "\n")
+        pieces = cut.flatten().dictionary_encode()
+        found = list(map(known, pieces.dictionary.to_pylist()))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        which = pieces.indices.to_numpy()
+        size = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        ids = np.frombuffer(b"".join(found), "<u4")[np.repeat(starts[which] - ends[:-1], size) + np.arange(ends[-1])]
+        at = (ends[np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy())])] * 4).tolist()
+        raw = ids.tobytes()
+        return [raw[a + 4 : b] for a, b in zip(at, at[1:])]
+
+    def _cut(self, text: str) -> bytes:
+        known = self.memory.__getitem__
+        return b"".join([known(p) if p[:1] == " " else known(p)[4:] for p in _CUTS.split(text)])
+
+
+class Memory(dict):
+    """Ids by piece.  When full, what was there becomes the older half, and what is met again is taken over from it,
+    so that frequent pieces stay.  Long pieces are kept for the texts of one slice."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        self.find = find
+        self.older: dict[str, bytes] = {}
+        self.long: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        stem = piece.rstrip(punctuation)
+        # Closing marks are a pre-token of their own after a letter: stem and marks may be known.
+        if len(stem) < len(piece) and stem[-1:].isalpha() and "<|" not in piece:
+            return self[stem] + self[piece[len(stem) :]][4:]
+        if len(piece) > 64:
+            found = self.long.get(piece)
+            if found is None:
+                found = self.long[piece] = self.find(piece)
+            return found
+        found = self.older.get(piece)
+        if found is None:
+            found = self.find(piece)
+        if len(self) >= REMEMBERED:
+            self.older = self.copy()
+            self.clear()
+        self[piece] = found
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -232,17 +283,15 @@ def write_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, uni
         part, writer, out, n = TaskContext.get().partitionId(), None, None, 0
         coder = encoder(tokenizer)
         for b in batches:
-            for s in range(0, b.num_rows, 256):
-                few = b.slice(s, 256)
-                if writer is None:
-                    store, base = fs.FileSystem.from_uri(path)
-                    store.create_dir(base, recursive=True)
-                    name = f"part-{part:06d}-{uuid.uuid4().hex}.vpl"
-                    out = store.open_output_stream(f"{base}/{name}")
-                    writer = PlaneWriter(out, unit)
-                for doc, ids in zip(few.column(0).to_pylist(), coder.encode(few.column(1).to_pylist())):
-                    writer.add(doc, ids + end)
-                    n += 1
+            if b.num_rows and writer is None:
+                store, base = fs.FileSystem.from_uri(path)
+                store.create_dir(base, recursive=True)
+                name = f"part-{part:06d}-{uuid.uuid4().hex}.vpl"
+                out = store.open_output_stream(f"{base}/{name}")
+                writer = PlaneWriter(out, unit)
+            for doc, ids in zip(b.column(0).to_pylist(), coder.stream(b.column(1).cast(pa.string()))):
+                writer.add(doc, ids + end)
+                n += 1
         if writer is not None:
             total = writer.close()
             out.close()
