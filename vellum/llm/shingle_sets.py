@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import dealt, materialize, new_path, remove, scratch
-from .components import connected_components
+from .components import ONE_TASK, connected_components
 from .simhash import BROADCAST_ROWS, _spread, fingerprint, first_of_each, linked_classes, shingle_hashes
 
 SHINGLE = 5
@@ -142,15 +142,20 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
 
+def _joined(labels: DataFrame | None, found: DataFrame) -> DataFrame:
+    """``labels`` with the links ``found``; those before are in the labels, one a node."""
+    edges = found if labels is None else labels.select(F.col("component").alias("a"), F.col("node").alias("b")).union(found)
+    return materialize(connected_components(edges, one_task=ONE_TASK), "sets-labels")
+
+
 def linked_sets(members: DataFrame, near: list[DataFrame], sets: DataFrame, centres: tuple[int, ...] = CENTRES) -> DataFrame | None:
     """(node, component) of all nodes that links connect; ``members`` has key, rep, n, u of the buckets, ``near`` lists more
     candidates, each verified where those before have not connected it."""
-    edges = labels = None
+    labels = None
     for pairs in near:
         found = materialize(verified(pairs if labels is None else _apart(pairs, labels), sets), "sets-edges")
         if not found.isEmpty():
-            edges = found if edges is None else edges.union(found)
-            labels = materialize(connected_components(edges), "sets-labels")
+            labels = _joined(labels, found)
     for k in (*centres, 0):
         now = members.withColumn("c", F.col("rep"))
         if labels is not None:
@@ -168,10 +173,8 @@ def linked_sets(members: DataFrame, near: list[DataFrame], sets: DataFrame, cent
         two = now.select("key", F.pmod(F.xxhash64("rep"), "parts").alias("part"), *(F.col(x).alias(y) for x, y in (("rep", "r2"), ("n", "n2"), ("u", "u2"), ("c", "c2"))))
         pairs = one.join(two, ["key", "part"]) if k else one.join(two, ["key", "part"]).filter("r1 < r2")
         found = materialize(verified(_ordered(pairs), sets), "sets-edges")
-        if found.isEmpty():
-            continue
-        edges = found if edges is None else edges.union(found)
-        labels = materialize(connected_components(edges), "sets-labels")
+        if not found.isEmpty():
+            labels = _joined(labels, found)
     return labels
 
 
