@@ -14,9 +14,51 @@ from pyspark.sql import types as T
 
 from .text import tokens
 
+#: White space of the JVM's patterns, which is narrower than Python's.
+_SPACE = " \\t\\n\\x0b\\f\\r"
+_IDEOGRAPHS = "\u3040-\u30FF\uFF66-\uFF9F\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uAC00-\uD7AF"
+_WORD = re.compile(f"[{_IDEOGRAPHS}]|[^{_SPACE}{_IDEOGRAPHS}]+")
+BAG = ("overlap", "ref_words", "hyp_words")
+#: Keys of repeated rows that may be broadcast.
+MOST = 1_000_000
+
+
+def _longs(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(n, T.LongType()) for n in names])
+
+
+def words_of(text: str) -> list[str]:
+    """As ``text.tokens``."""
+    plain = text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f")
+    return text.split() if plain else _WORD.findall(text)
+
+
+def bag_sizes(ref: str | None, hyp: str | None) -> tuple[int, int, int]:
+    """Size of the multiset intersection of the tokens of two texts, and both sizes."""
+    a, b = words_of(ref or ""), words_of(hyp or "")
+    said = Counter(a)
+    return sum(min(k, said[w]) for w, k in Counter(b).items() if w in said), len(a), len(b)
+
+
+@F.pandas_udf(_longs(*BAG))
+def _bag_sizes(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([bag_sizes(x, y) for x, y in zip(a, b)], columns=BAG)
+
 
 def bag_overlap(pairs: DataFrame, key: list[str], ref: str, hyp: str) -> DataFrame:
-    """Per key the size of the multiset intersection of two token columns, and both sizes; 0 without tokens."""
+    """Per key the size of the multiset intersection of two token columns, and both sizes; 0 without tokens.  A row
+    is counted by itself; only rows that share a key, whose bags are one bag, meet in a shuffle of their tokens."""
+    repeated = pairs.groupBy(*key).count().filter("count > 1").select(*(F.col(k).alias(f"_{k}") for k in key))
+    many = repeated.limit(MOST + 1).count()
+    alone = lambda rows: rows.select(*key, _bag_sizes(ref, hyp).alias("b")).select(*key, "b.*")
+    if not many:
+        return alone(pairs)
+    held = repeated if many > MOST else F.broadcast(repeated)
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
+    return alone(pairs.join(held, same, "left_anti")).unionByName(_merged_overlap(pairs.join(held, same, "left_semi"), key, ref, hyp))
+
+
+def _merged_overlap(pairs: DataFrame, key: list[str], ref: str, hyp: str) -> DataFrame:
     none = F.array(F.struct(F.lit(None).cast("string").alias("w"), F.lit(0).alias("r"), F.lit(0).alias("h")))
     both = [F.coalesce(F.col(x), F.lit("")) for x in (ref, hyp)]
     said = pairs.select(*key, F.explode(F.concat(none, F.transform(tokens(both[0]), lambda w: F.struct(w.alias("w"), F.lit(1).alias("r"), F.lit(0).alias("h"))), F.transform(tokens(both[1]), lambda w: F.struct(w.alias("w"), F.lit(0).alias("r"), F.lit(1).alias("h"))))).alias("x"))
@@ -38,10 +80,6 @@ def micro(overlap: str = "overlap", ref: str = "ref_words", hyp: str = "hyp_word
     ]
 
 
-#: Longest line whose distance is taken by table in the JVM; beyond it by words of bits, which measure three times as fast at 400.
-TABLED = 256
-
-
 def bit_distance(a: str, b: str) -> int:
     """Edit distance with a column of the table held as two bit vectors (differences up and down)."""
     if not a or not b:
@@ -61,15 +99,47 @@ def bit_distance(a: str, b: str) -> int:
     return score
 
 
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def distances(a: list[str], b: list[str]) -> np.ndarray:
+    """Edit distances of pairs.  In a pair of one length whose unequal places hold characters that replace none of each
+    other, no alignment can save any of them, so their number is the distance; other pairs are compared in full."""
+    n, m = (np.array([len(x) for x in side], np.int64) for side in (a, b))
+    out = np.full(len(a), -1, np.int64)
+    even = np.flatnonzero(n == m)
+    if len(even):
+        x, y = (code_points("".join([side[k] for k in even.tolist()])) for side in (a, b))
+        at = np.flatnonzero(x != y)
+        row = np.searchsorted(np.cumsum(n[even]), at, "right")
+        lost, new = (row << 21 | side[at] for side in (x, y))
+        open_ = np.intersect1d(lost, new) >> 21
+        out[even] = np.bincount(row, minlength=len(even))
+        out[even[open_]] = -1
+    for k in np.flatnonzero(out < 0).tolist():
+        out[k] = bit_distance(a[k], b[k])
+    return out
+
+
 @F.pandas_udf(T.LongType())
-def _long_distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else bit_distance(x, y) for x, y in zip(a, b)], dtype="Int64")
+def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
+    whole = (a.notna() & b.notna()).to_numpy()
+    out = pd.Series([None] * len(a), dtype="Int64")
+    out[whole] = distances(a[whole].tolist(), b[whole].tolist())
+    return out
 
 
 def distance(a: Column, b: Column) -> Column:
-    """Edit distance in code points; only lines too long for a table leave the JVM."""
-    long = (F.length(a) > TABLED) | (F.length(b) > TABLED)
-    return F.when(long, _long_distance(F.when(long, a), F.when(long, b))).otherwise(F.levenshtein(a, b).cast("long"))
+    """Edit distance in code points."""
+    return _distance(a, b)
+
+
+@F.pandas_udf(_longs(*BAG, "char_errors", "ref_chars"))
+def page_counts(ref: pd.Series, hyp: pd.Series) -> pd.DataFrame:
+    """Sizes of the token bags and their overlap, edit distance and length of normalised texts without nulls."""
+    out = pd.DataFrame([bag_sizes(x, y) for x, y in zip(ref, hyp)], columns=BAG)
+    return out.assign(char_errors=distances(ref.tolist(), hyp.tolist()), ref_chars=[len(x) for x in ref])
 
 
 def edit_ops(ref: list, hyp: list) -> tuple[int, int, int]:
