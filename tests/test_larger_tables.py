@@ -46,3 +46,35 @@ def test_scores_of_repeated_and_blank_documents(spark, same_as_sql, tmp_path):
     for name in ("grouping_sets_scores", "scorecard_rollup_lang", "scorecard_micro", "multiset_overlap", "word_recall_precision", "char_distance_lines"):
         same_as_sql(catalog.QUERIES[name](spark, str(tmp_path)), catalog.ORACLES[name], str(tmp_path))
     assert _plan(catalog.QUERIES["scorecard_micro"](spark, str(tmp_path))).count("ArrowEvalPython") == 2
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abo0 ", max_size=40), st.text("abo0 ", max_size=40), st.integers(0, 12), st.sampled_from([1, 200, 1 << 27]))
+def test_edit_counts_do_not_depend_on_what_settles_them(a, b, cut, kept):
+    b = a[:cut] + b[cut:]
+    now, metrics.KEPT = metrics.KEPT, kept
+    try:
+        assert metrics.edit_counts(a, b) == metrics._traced(list(map(ord, a)), list(map(ord, b))) if a and b else True
+        assert metrics.edit_counts(a, b) == metrics.edit_ops(list(a), list(b))
+        assert metrics.edit_counts(a.split(), b.split()) == metrics.edit_ops(a.split(), b.split())
+    finally:
+        metrics.KEPT = now
+
+
+def test_a_page_with_missing_lines_is_scored_without_a_table(monkeypatch):
+    rng = random.Random(11)
+    lines = [" ".join("".join(rng.choice("abcdefghilo") for _ in range(rng.randrange(1, 9))) for _ in range(12)) for _ in range(400)]
+    ref, hyp = "\n".join(lines), "\n".join(x.translate(str.maketrans("oi", "01")) for k, x in enumerate(lines) if k % 20 != 4)
+    monkeypatch.setattr(metrics, "_traced", lambda a, b: 1 / 0)
+    s, gone = metrics.score(ref, hyp), sum(len(x) + 1 for x in lines[4::20])
+    changed = sum(x.count("o") + x.count("i") for k, x in enumerate(lines) if k % 20 != 4)
+    assert (s["char_errors"], s["char_ins"], s["ref_chars"]) == (gone + changed, 0, len(ref)) and s["word_errors"] == s["ref_words"] - s["word_overlap"]
+
+
+def test_pages_without_lines_keep_blank_scores(spark, tmp_path):
+    docs = pd.DataFrame([(1, "", "en", "a"), (2, "oil", "en", "b"), (2, "oil", "de", "b"), (None, "x", "de", "b")], columns=["doc_id", "text", "lang", "source"]).astype({"doc_id": "Int64"}).assign(n_chars=1)
+    docs.to_parquet(tmp_path / "documents.parquet")
+    rows = [r.asDict() for r in catalog.QUERIES["pair_scores"](spark, str(tmp_path)).collect()]
+    blank = metrics.score("", "")
+    assert sorted((str(r["doc_id"]), r["pg"], r["ref_chars"], r["char_errors"]) for r in rows) == [("1", 0, 1, 0), ("2", 0, 7, 4), ("2", 0, 7, 4), ("None", 0, 1, 0)]
+    assert all({k: r[k] for k in blank} == blank for r in rows if r["doc_id"] != 2)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -165,42 +166,153 @@ def edit_ops(ref: list, hyp: list) -> tuple[int, int, int]:
     return s, d, ins
 
 
-def edit_counts(ref: str | list, hyp: str | list) -> tuple[int, int, int]:
-    """As ``edit_ops`` of long sequences: the table is kept as bits, one for each choice on the way back."""
-    codes: dict = {}
-    a = np.array([codes.setdefault(x, len(codes)) for x in ref], np.int64)
-    b = np.array([codes.setdefault(x, len(codes)) for x in hyp], np.int64)
-    tail = 0  # an equal end is matched first in any case
-    while tail < min(len(a), len(b)) and a[-1 - tail] == b[-1 - tail]:
-        tail += 1
-    a, b = a[: len(a) - tail], b[: len(b) - tail]
-    if not len(a) or not len(b):
-        return 0, len(a), len(b)
-    at = np.arange(len(b) + 1, dtype=np.int32)
-    row, pairs, ups = at.copy(), [], []
-    for x in a:
-        pair = row[:-1] + (b != x)
-        now = row + 1
-        np.minimum(now[1:], pair, out=now[1:])
-        now -= at
-        np.minimum.accumulate(now, out=now)
-        now += at
-        pairs.append(np.packbits(now[1:] == pair))
-        ups.append(np.packbits(now == row + 1))
-        row = now
+#: Length of the pieces that anchor an alignment of characters and of words; classes of characters in a bag.
+GRAM, CLASSES = {str: 8, list: 2}, 1024
+#: Cells of a table whose bits are kept whole; of larger ones every so many columns, and a block is made again.
+KEPT = 1 << 27
+
+
+def _shifted(a: np.ndarray, b: np.ndarray) -> int:
+    """Cost of the best alignment that pairs a head and a tail place by place and skips between them on one side."""
+    if len(a) < len(b):
+        a, b = b, a
+    n, more = len(b), len(a) - len(b)
+    if not n or not more:
+        return more + int(np.count_nonzero(a != b)) if n else more
+    head, tail = np.cumsum(a[:n] != b), np.cumsum((a[more:] != b)[::-1])
+    return more + min(int(tail[-1]), int(head[-1]), int((head[:-1] + tail[-2::-1]).min(initial=n)))
+
+
+def _grams(x: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the pieces that occur once, in order, and their places."""
+    n = len(x) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    x, h = x.astype(np.uint64), np.zeros(n, np.uint64)
+    for k in range(size):
+        h = h * np.uint64(1_000_003) + x[k : k + n]
+    found, at, times = np.unique(h, return_index=True, return_counts=True)
+    return found[times == 1], at[times == 1]
+
+
+def _rising(y: np.ndarray) -> np.ndarray:
+    """Places of a longest rising subsequence."""
+    if not (np.diff(y) <= 0).any():
+        return np.arange(len(y))
+    tops: list[int] = []
+    at: list[int] = []
+    before: list[int] = []
+    for k, v in enumerate(y.tolist()):
+        p = bisect_left(tops, v)
+        if p == len(tops):
+            tops.append(v)
+            at.append(k)
+        else:
+            tops[p], at[p] = v, k
+        before.append(at[p - 1] if p else -1)
+    out, k = [], at[-1]
+    while k >= 0:
+        out.append(k)
+        k = before[k]
+    return np.array(out[::-1])
+
+
+def _anchored(a: np.ndarray, b: np.ndarray, size: int) -> int:
+    """Cost of an alignment that holds on to pieces that occur once on both sides."""
+    (x, i), (y, j) = _grams(a, size), _grams(b, size)
+    _, p, q = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    i, j = i[p], j[q]
+    order = np.argsort(i)
+    i, j = i[order], j[order]
+    if len(i):
+        kept = _rising(j)
+        i, j = i[kept], j[kept]
+    turns = np.flatnonzero(np.diff(i - j))
+    cost = at = to = 0
+    for first, last in zip([0, *(turns + 1).tolist()], [*turns.tolist(), len(i) - 1]) if len(i) else ():
+        skip = max(at - int(i[first]), to - int(j[first]), 0)
+        i0, j0, end = int(i[first]) + skip, int(j[first]) + skip, int(i[last]) + size
+        if i0 < end:
+            n = end - i0
+            cost += _shifted(a[at:i0], b[to:j0]) + int(np.count_nonzero(a[i0:end] != b[j0 : j0 + n]))
+            at, to = end, j0 + n
+    return cost + _shifted(a[at:], b[to:])
+
+
+def _settled(a: np.ndarray, b: np.ndarray, size: int) -> tuple[int, int, int] | None:
+    """The counts of every least-cost alignment where the bags of both sides tell them, else None.
+
+    What one bag holds beyond the other is substituted or deleted (or, on the other side, inserted).  An alignment that
+    costs no more than that is a least one, and none of these has a step of the third kind."""
+    x, y = (c & (CLASSES - 1) for c in (a, b)) if size == GRAM[str] else (a, b)
+    n = int(max(x.max(), y.max())) + 1
+    beyond = np.bincount(x, minlength=n) - np.bincount(y, minlength=n)
+    lost, new = int(beyond[beyond > 0].sum()), -int(beyond[beyond < 0].sum())
+    more = len(a) - len(b)
+    least = max(lost, new)
+    if least != _shifted(a, b) and least != _anchored(a, b, size):
+        return None
+    return (lost - more, more, 0) if lost >= new else (new + more, 0, -more)
+
+
+def _traced(a: list[int], b: list[int]) -> tuple[int, int, int]:
+    """Counts from the table held as bits: for each column the cells equal to their diagonal neighbour, and those one
+    above their upper one."""
+    place: dict[int, int] = {}
+    for i, c in enumerate(a):
+        place[c] = place.get(c, 0) | 1 << i
+    full = (1 << len(a)) - 1
+
+    def columns(up: int, down: int, part: list[int]):
+        for c in part:
+            same = place.get(c, 0)
+            diagonal = (((same & up) + up) ^ up) | same | down
+            right, left = down | ~(diagonal | up) & full, up & diagonal
+            right, left = (right << 1 | 1) & full, left << 1 & full
+            up, down = left | ~(diagonal | right) & full, right & diagonal
+            yield diagonal, up, down
+
+    block = max(1, min(len(b), KEPT // len(a)))
+    starts = [(full, 0)]
+    if block < len(b):
+        for k, (_, up, down) in enumerate(columns(full, 0, b), 1):
+            if k % block == 0:
+                starts.append((up, down))
     i, j, s, d, ins = len(a), len(b), 0, 0, 0
-    bit = lambda packed, k: packed[k >> 3] >> (7 - (k & 7)) & 1
+    base, held = len(b) + 1, []
     while i or j:
-        if i and j and bit(pairs[i - 1], j - 1):
+        if j and j <= base:
+            k = (j - 1) // block
+            base = k * block
+            held = list(columns(*starts[k], b[base : base + block]))
+        diagonal, up, _ = held[j - 1 - base] if j else (0, full, 0)
+        if i and j and (a[i - 1] == b[j - 1] or not diagonal >> i - 1 & 1):
+            s += a[i - 1] != b[j - 1]
             i, j = i - 1, j - 1
-            s += int(a[i] != b[j])
-        elif i and (not j or bit(ups[i - 1], j)):
+        elif i and up >> i - 1 & 1:
             d, i = d + 1, i - 1
         else:
             ins, j = ins + 1, j - 1
     return s, d, ins
 
 
+def edit_counts(ref: str | list, hyp: str | list) -> tuple[int, int, int]:
+    """As ``edit_ops`` of long sequences: from bags and an anchored alignment where these settle them, else from the
+    table as bits, one for each choice on the way back."""
+    if isinstance(ref, str) and isinstance(hyp, str):
+        a, b = code_points(ref).astype(np.int64), code_points(hyp).astype(np.int64)
+    else:
+        codes: dict = {}
+        a, b = (np.array([codes.setdefault(x, len(codes)) for x in side], np.int64) for side in (ref, hyp))
+    n = min(len(a), len(b))  # an equal end is matched first in any case
+    apart = np.flatnonzero(a[len(a) - n :] != b[len(b) - n :])
+    tail = n - 1 - int(apart[-1]) if len(apart) else n
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    if not len(a) or not len(b):
+        return 0, len(a), len(b)
+    return _settled(a, b, GRAM[type(ref)]) or _traced(a.tolist(), b.tolist())
+
+
 SCORE = "cer double, wer double, insertion_rate double, ref_chars long, char_errors long, char_ins long, ref_words long, word_errors long, word_overlap long, hyp_words long, word_recall double, word_precision double"
 _TOKEN = re.compile("[\u3040-\u30FF\uFF66-\uFF9F\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uAC00-\uD7AF]|[^\\s\u3040-\u30FF\uFF66-\uFF9F\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uAC00-\uD7AF]+")
 
@@ -222,17 +334,14 @@ def score(ref: str | None, hyp: str | None, caseless: bool = False) -> dict:
 
 
 def pair_scores(pairs: DataFrame, ref: str, hyp: str, caseless: bool = False) -> DataFrame:
-    """All other columns of ``pairs`` and the scores of each pair, nulls being empty.  Pairs are spread over all tasks,
-    as their cost is in time, not in bytes."""
-    spark = pairs.sparkSession
+    """All other columns of ``pairs`` and the scores of each pair, nulls being empty."""
     keep = [c for c in pairs.columns if c not in (ref, hyp)]
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
 
     @F.pandas_udf(SCORE)
     def scored(a: pd.Series, b: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([score(x, y, caseless) for x, y in zip(a, b)], columns=[c.split()[0] for c in SCORE.split(", ")])
 
-    return pairs.repartition(tasks).select(*keep, scored(ref, hyp).alias("s")).select(*keep, "s.*")
+    return pairs.select(*keep, scored(ref, hyp).alias("s")).select(*keep, "s.*")
 
 
 def scorecard(scored: DataFrame, by: str) -> DataFrame:
