@@ -6,54 +6,60 @@ empty and therefore refused; ties of the most frequent word or character do not
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PAGE = ["doc_id", "pg"]
 # What a reader says that did not read.
 MARKERS = ("[image content", "[image]", "i cannot", "i can't", "i'm unable", "i am unable", "unable to read", "unable to process", "as an ai", "i'm sorry", "i am sorry")
 
 
-def _most(items: Column) -> Column:
-    """How often the most frequent element of an array occurs."""
-    start = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+#: White space of Unicode, which lacks the four separators that Python splits at.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_WORD = re.compile(f"[^{WHITE}]+")
 
-    def step(acc: Column, x: Column) -> Column:
-        run = F.when(acc["last"] == x, acc["run"] + 1).otherwise(1)
-        return F.struct(x.alias("last"), run.alias("run"), F.greatest(acc["best"], run).alias("best"))
 
-    return F.aggregate(F.sort_array(items), start, step, lambda acc: acc["best"])
+def _words(text: str | None) -> list[str]:
+    text = text or ""
+    return _WORD.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
 
-def _by(text: Column, split, body) -> Column:
-    return F.element_at(F.transform(F.array(split(F.coalesce(text, F.lit("")))), body), 1)
+def _floods(words: list[str]) -> bool:
+    chars = "".join(words)
+    kinds = set(chars) if len(chars) >= 200 else ()
+    return bool(kinds) and (len(kinds) <= 3 or max(map(chars.count, kinds)) >= 0.90 * len(chars))
 
 
-def _middle(items: Column) -> Column:
-    """How often the middle element in order occurs: the most frequent one, if any fills more than half."""
-    middle = F.get(F.sort_array(items), F.floor(F.size(items) / 2).cast("int"))
-    return F.element_at(F.transform(F.array(middle), lambda m: F.size(F.filter(items, lambda x: x == m))), 1)
+def _loops(words: list[str]) -> bool:
+    times = Counter(words) if len(words) >= 40 else ()
+    return bool(times) and (max(times.values()) >= 0.40 * len(words) or len(times) / len(words) < 0.10)
 
 
-def flooded(text: Column) -> Column:
+@F.pandas_udf(T.BooleanType())
+def flooded(text: pd.Series) -> pd.Series:
     """One character, or three at most, fill 200 or more that are not white space."""
-    chars = lambda t: F.filter(F.split(F.regexp_replace(t, r"(?U)\s", ""), ""), lambda c: c != "")
-    return _by(text, chars, lambda cs: (F.size(cs) >= 200) & ((_middle(cs) >= 0.90 * F.size(cs)) | (F.size(F.array_distinct(cs)) <= 3)))
+    return pd.Series([_floods(_words(x)) for x in text], dtype=bool)
 
 
-def looping(text: Column) -> Column:
+@F.pandas_udf(T.BooleanType())
+def looping(text: pd.Series) -> pd.Series:
     """One of 40 or more words is 40 % of them, or under a tenth of them differ."""
-    words = lambda t: F.regexp_extract_all(t, F.lit(r"(?U)\S+"), 0)
-    return _by(text, words, lambda ws: (F.size(ws) >= 40) & ((_most(ws) >= 0.40 * F.size(ws)) | (F.size(F.array_distinct(ws)) / F.size(ws) < 0.10)))
+    return pd.Series([_loops(_words(x)) for x in text], dtype=bool)
 
 
-def degenerate(text: Column) -> Column:
-    return flooded(text) | looping(text)
+@F.pandas_udf(T.BooleanType())
+def degenerate(text: pd.Series) -> pd.Series:
+    return pd.Series([_floods(ws) or _loops(ws) for ws in map(_words, text)], dtype=bool)
 
 
 def refused(reading: Column, detected: Column) -> Column:
     """Whether a reading is none: blank, a short excuse, far shorter than what was detected, or a loop."""
-    said = F.lower(F.regexp_replace(F.coalesce(reading, F.lit("")), r"(?U)^\s+|\s+$", ""))
+    said = F.lower(F.btrim(F.coalesce(reading, F.lit("")), F.lit(WHITE)))
     excuse = F.exists(F.array(*map(F.lit, MARKERS)), lambda m: F.contains(said, m))
     n = F.length(said)
     return (n == 0) | ((n < 200) & excuse) | ((detected >= 80) & (n < 0.25 * detected)) | degenerate(reading)
@@ -101,9 +107,11 @@ def reading_plan(pages: DataFrame, segments: DataFrame, vision: float = 0.92, pa
 def escalated(readings: DataFrame, model: str, stronger: str | None, below: float = 0.0) -> DataFrame:
     """Adds model, reading and read_failed after a second reading where the first is refused or unsure.  ``readings``
     has reading, second, det_chars, paddle_conf, failed; a failed first reading is not retried."""
-    poor = refused(F.col("reading"), F.col("det_chars"))
+    # Judged in a projection of its own: once, not in each branch that asks.
+    judged = readings.select("*", refused(F.col("reading"), F.col("det_chars")).alias("_poor"), refused(F.col("second"), F.col("det_chars")).alias("_second_poor"))
+    poor = F.col("_poor")
     wanted = F.lit(bool(stronger) and stronger != model) & (poor | unsure(F.col("paddle_conf"), below))
-    swap = wanted & ~refused(F.col("second"), F.col("det_chars"))
+    swap = wanted & ~F.col("_second_poor")
     text = F.when(F.col("failed"), "").when(swap, F.col("second")).when(poor, "").otherwise(F.col("reading"))
     by = F.when(F.col("failed"), "").when(swap, F.lit(stronger)).when(poor, "").otherwise(F.lit(model))
-    return readings.select("*", text.alias("final"), by.alias("read_model"), F.col("failed").alias("read_failed"))
+    return judged.select(*readings.columns, text.alias("final"), by.alias("read_model"), F.col("failed").alias("read_failed"))
