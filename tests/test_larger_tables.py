@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import random
+import re
+from collections import Counter
 
 import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from vellum.functions import metrics
+from vellum.functions import text as tx
+from vellum.operators import guards, placement, render
 from vellum.plans import catalog
 
 
@@ -78,3 +83,57 @@ def test_pages_without_lines_keep_blank_scores(spark, tmp_path):
     blank = metrics.score("", "")
     assert sorted((str(r["doc_id"]), r["pg"], r["ref_chars"], r["char_errors"]) for r in rows) == [("1", 0, 1, 0), ("2", 0, 7, 4), ("2", 0, 7, 4), ("None", 0, 1, 0)]
     assert all({k: r[k] for k in blank} == blank for r in rows if r["doc_id"] != 2)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("aZé \u0e01\u0e02я文ア가क م\u3400", max_size=20))
+def test_script_is_that_of_the_patterns(text):
+    told = {k: re.findall("[" + re.sub(r"\\x\{(\w+)\}", r"\\u\1", r) + "]", text) for k, r in tx.SCRIPTS.items()}
+    n = {k: len(x) for k, x in told.items()}
+    total = sum(n.values()) + len(re.findall("[A-Za-z\u00C0-\u024F]", text))
+    best = min(n, key=lambda k: (-n[k], text.find(told[k][0]) if n[k] else len(text), k))
+    assert tx.script_of(text) == (best if n[best] and n[best] >= 0.10 * total else "latin")
+
+
+def test_scripts_and_guards_run_no_pattern_over_characters(spark):
+    df = spark.createDataFrame([("a",), (None,)], "t string")
+    assert "regexp" not in _plan(df.select(tx.script(F.col("t")))) and [r[0] for r in df.select(tx.script(F.col("t"))).collect()] == ["latin", "latin"]
+    assert "sort_array" not in _plan(df.select(guards.degenerate(F.col("t")))) and [r[0] for r in df.select(guards.degenerate(F.col("t"))).collect()] == [False, False]
+    judged = df.select(F.col("t").alias("reading"), F.col("t").alias("second"), F.lit(0).alias("det_chars"), F.lit(0.9).alias("paddle_conf"), F.lit(False).alias("failed"))
+    assert _plan(guards.escalated(judged, "m", "n")).count("I cannot".lower()) == 2
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("aaaaab\x1c\u00a0 cd"), max_size=12), st.integers(1, 60))
+def test_loops_are_counted_over_white_space_of_unicode(part, times):
+    text = "".join(part) * times
+    words = re.findall(r"[^ \u00a0]+", text)
+    chars = Counter("".join(words))
+    n, m = chars.total(), len(words)
+    assert guards._floods(guards._words(text)) == (n >= 200 and (len(chars) <= 3 or max(chars.values()) >= 0.9 * n))
+    assert guards._loops(guards._words(text)) == (m >= 40 and (max(Counter(words).values()) >= 0.4 * m or len(set(words)) / m < 0.1))
+
+
+def test_refusal_trims_white_space_of_unicode(spark):
+    said = "\u2003\x85I cannot see \u00a0\n"
+    df = spark.createDataFrame([(said, 0), (" \u3000\t", 0), ("\x1c" * 30, 100), ("a\x1c b" * 20, 100)], "t string, n int")
+    assert [r[0] for r in df.select(guards.refused(F.col("t"), F.col("n"))).collect()] == [True, True, False, False]
+
+
+def test_placement_of_repeated_and_keyless_rows(spark):
+    box, page = (0.0, 0.0, 9.0, 9.0), "doc_id long, pg int, "
+    truth = spark.createDataFrame([(1, 0, 0, *box, "a a b"), (1, 0, 0, *box, "c"), (1, 0, 1, *box, "b 文字"), (2, 0, 0, *box, ""), (3, 0, 5, *box, "a"), (None, 0, 0, *box, "a")], page + "ix int, x0 double, y0 double, x1 double, y1 double, t string")
+    segments = spark.createDataFrame([(1, 0, 0, "a c"), (1, 0, 1, "字 b"), (1, 0, 2, None), (None, 0, 0, "a")], page + "ix int, det_text string")
+    matched = spark.createDataFrame([(1, 0, 0, 0, "a"), (1, 0, 1, 0, "c"), (1, 0, 1, 1, "字 b"), (None, 0, 0, 0, "a")], page + "ix int, line int, det_text string")
+    out = placement.counts(matched, segments, truth)
+    assert {(r.doc_id, r.pg): (r.placed, r.plain, r.total) for r in out.collect()} == {(1, 0): (5, 6, 7), (3, 0): (0, 0, 1), (None, 0): (0, 0, 1)}
+    assert "Generate" not in _plan(out)
+
+
+def test_overlay_totals_are_sums_of_its_rows(spark):
+    rows = [(1, 0, 0, 3.0, 10.0, "one two  three", "paddle", False), (1, 0, 1, 0.0, 7.0, "\u00a0 ", "paddle", False), (1, 0, 2, 1.0, 2.0, "zz", "textlayer", False), (1, 1, 0, 5.0, 6.0, "é a", "fused", False), (1, 1, 1, 5.0, 6.0, "x", "fused", True), (None, 0, 0, 0.0, 3.0, "a b c", "vision", False)]
+    df = spark.createDataFrame(rows, "doc_id long, pg int, ix int, x0 double, x1 double, best_text string, source string, superseded boolean").withColumns({"y0": F.lit(0.0), "y1": F.lit(9.0)})
+    want = render.overlay_rows(df, words=True).groupBy("doc_id", "pg").agg(F.sum("word").alias("words"), F.round(F.sum("x"), 9).alias("x"), F.max("width").alias("widest"), F.max("text").alias("last"))
+    out = render.overlay_totals(df)
+    assert sorted(map(str, out.withColumn("x", F.round("x", 9)).collect())) == sorted(map(str, want.collect()))
+    assert "Generate" not in _plan(out)
