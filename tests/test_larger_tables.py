@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions import metrics
 from vellum.functions import text as tx
-from vellum.operators import guards, placement, render
+from vellum.operators import align, guards, placement, render
 from vellum.plans import catalog
 
 
@@ -137,3 +137,38 @@ def test_overlay_totals_are_sums_of_its_rows(spark):
     out = render.overlay_totals(df)
     assert sorted(map(str, out.withColumn("x", F.round("x", 9)).collect())) == sorted(map(str, want.collect()))
     assert "Generate" not in _plan(out)
+
+
+def _text(rng: random.Random, words: int) -> list[str]:
+    parts = ("la", "re", "ou", "ment", "el", "qu", "tion", "er", "io", "chi", "ol", "pa", "é0")
+    return ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 5))) for _ in range(words)]
+
+
+def test_words_of_a_page_of_any_size_are_spread():
+    """Beyond 1,500,000 pairs of words lines were aligned, of which each cluster got one at most."""
+    said = _text(random.Random(7), 1_300)
+    clusters = [" ".join(said[k : k + 13]).translate(str.maketrans("oi", "01")) for k in range(0, 1_300, 13)]
+    assert len(said) ** 2 > 1_500_000 and align.fuse(clusters, [0.4] * 100, " ".join(said)) == [" ".join(said[k : k + 13]) for k in range(0, 1_300, 13)]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("abA1é", min_size=1, max_size=30), max_size=20), st.lists(st.text("abA1é", min_size=1, max_size=30), max_size=20), st.sampled_from([1, 40, 1 << 24]), st.sampled_from([1, 1 << 15]), st.sampled_from([0, 2_000]))
+def test_alignment_does_not_depend_on_blocks(a, b, block, pairs, many):
+    from test_goldens import _whole_table
+
+    was, align.BLOCK, align.PAIRS, align.MANY = (align.BLOCK, align.PAIRS, align.MANY), block, pairs, many
+    try:
+        assert align.steps(a, b) == _whole_table(a, b)
+    finally:
+        align.BLOCK, align.PAIRS, align.MANY = was
+
+
+def test_similarities_of_a_page_are_taken_together(monkeypatch):
+    rng = random.Random(3)
+    left, right = _text(rng, 300), _text(rng, 280)
+    both = align._Sides(left, right)
+    got = both.similarities(both.ids[0][:280], both.ids[1]).tolist()
+    assert got == [2.0 * align._matched(a.lower(), b.lower()) / (len(a) + len(b)) for a, b in zip(left, right)]
+    want = align.steps(left, right)
+    monkeypatch.setattr(align, "similarity", lambda a, b: 1 / 0)
+    assert align.steps(left, right) == want
